@@ -866,7 +866,7 @@ def _new_tables(spark: SparkSession, label: str) -> Tables:
     return Tables(spark, base, prefix="t" + base.rsplit("-", 1)[1] + "_", buckets=4).create()
 
 
-def _streamed(spark, sf_dir, max_files=6):
+def _streamed(spark, sf_dir, max_files=8):
     """The snapshot files fed through the medallion by a stream, a few per batch, once a session."""
     known = (spark.sparkContext.applicationId, sf_dir)
     if known not in _STREAMED:
