@@ -23,8 +23,9 @@ def iso_utc(epoch: Column) -> Column:
     """ISO-8601 text of an epoch value; NULL for 0 and NULL."""
     moment = epoch.cast("timestamp")
     whole = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.date_format(moment, ".SSSSSS")
-    text = F.concat(whole, F.when(fraction != ".000000", fraction).otherwise(""), F.lit("+00:00"))
+    has_fraction = F.unix_micros(moment) % 1000000 != 0
+    fraction = F.when(has_fraction, F.date_format(moment, ".SSSSSS")).otherwise("")
+    text = F.concat(whole, fraction, F.lit("+00:00"))
     return F.when(F.coalesce(epoch, F.lit(0.0)) != 0, text)
 
 

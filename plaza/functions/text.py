@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,10 +65,23 @@ r/{subreddit}:
 {content}"""
 
 
+def whole_words(words: Iterable[str]) -> str:
+    """A pattern whose group 1 is one of the words, between Unicode word boundaries.
+
+    The look-ahead turns away most positions by their first character alone, before the
+    costly boundary test, and words are grouped by that character. Within a group they keep
+    their order, so of several that fit, the first listed still wins.
+    """
+    rest: dict[str, list[str]] = {}
+    for word in words:
+        rest.setdefault(re.escape(word[0]), []).append(re.escape(word[1:]))
+    branches = "|".join(f"{first}(?:{'|'.join(ends)})" for first, ends in rest.items())
+    return rf"(?U)(?=[{''.join(rest)}])\b({branches})\b"
+
+
 def extract_tools(text: Column, aliases: Mapping[str, str] = TOOL_ALIASES) -> Column:
     """Sorted distinct canonical names of the aliases that occur as whole words."""
-    words = "|".join(re.escape(alias) for alias in aliases)
-    found = F.regexp_extract_all(F.lower(text), F.lit(rf"(?U)\b({words})\b"), F.lit(1))
+    found = F.regexp_extract_all(F.lower(text), F.lit(whole_words(aliases)), F.lit(1))
     pairs = [F.lit(part) for pair in aliases.items() for part in pair]
     names = F.create_map(*pairs)
     canonical = F.transform(F.array_distinct(found), lambda word: names[word])

@@ -35,8 +35,10 @@ def _scored() -> list:
 
 
 def tool_rankings(silver: DataFrame, limit: int = 15) -> DataFrame:
-    mentions = silver.select("score", F.explode("tools_mentioned").alias("tool"))
-    counted = mentions.groupBy("tool").agg(F.count(F.lit(1)).alias("mentions"), *_scored())
+    # An outer explode, because Spark puts a size filter below an inner one and would then
+    # extract the tools twice.
+    mentions = silver.select("score", F.explode_outer("tools_mentioned").alias("tool"))
+    counted = mentions.where(F.col("tool").isNotNull()).groupBy("tool").agg(F.count(F.lit(1)).alias("mentions"), *_scored())
     return top(counted, [F.col("mentions").desc(), F.col("tool").asc()], limit)
 
 
@@ -49,7 +51,7 @@ def fallback_summary(silver: DataFrame) -> DataFrame:
     """One row of totals in one pass: each post once without a tool, and once per tool."""
     once = F.array(F.lit(None).cast("string"))
     rows = silver.select(
-        "subreddit", "score", "tools_count", F.explode(F.concat(once, "tools_mentioned")).alias("tool")
+        "subreddit", "score", "tools_count", F.explode_outer(F.concat(once, "tools_mentioned")).alias("tool")
     )
     is_post = F.col("tool").isNull()
     return rows.agg(

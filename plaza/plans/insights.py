@@ -47,12 +47,12 @@ def answers_to_rows(
     ]
     rows = parsed.select(
         "subreddit",
-        F.explode(F.concat(*lists)).alias("item"),
+        F.explode_outer(F.concat(*lists)).alias("item"),
         (F.current_timestamp() if generated_at is None else generated_at).alias("generated_at"),
         execution_date.cast("date").alias("execution_date"),
         model_version.alias("model_version"),
     )
-    return rows.select(
+    return rows.where(F.col("item").isNotNull()).select(
         "subreddit",
         "item.insight_type",
         "item.item_name",

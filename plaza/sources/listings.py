@@ -32,7 +32,9 @@ def parse_post_listing(pages: DataFrame, listing: str = "listing", keep: tuple[s
     ``keep`` names columns of the page, such as its number, to carry along.
     """
     children = F.from_json(listing, LISTING)["data"]["children"]
-    rows = pages.select(*keep, F.posexplode(children).alias("position", "child"))
+    # Outer, because Spark puts a size filter below an inner explode and would parse twice.
+    rows = pages.select(*keep, F.posexplode_outer(children).alias("position", "child"))
+    rows = rows.where(F.col("position").isNotNull())
     post = F.col("child.data")
     created = F.coalesce(to_double(post["created_utc"]), F.lit(0.0))
     return rows.select(
@@ -102,7 +104,8 @@ def flatten_comment_tree(
     too_deep = F.raise_error(F.lit(f"comment tree deeper than {max_depth} levels"))
     every = F.concat(*[F.col(f"_level{depth}") for depth in range(max_depth)])
     nodes = F.when(F.size(f"_level{max_depth}") == 0, every).otherwise(too_deep.cast(_NODES))
-    rows = levels.select(F.col(post_id).alias("post_id"), F.explode(nodes).alias("node"))
+    rows = levels.select(F.col(post_id).alias("post_id"), F.explode_outer(nodes).alias("node"))
+    rows = rows.where(F.col("node").isNotNull())
     data = F.col("node.data")
     created = F.coalesce(to_double(data["created_utc"]), F.lit(0.0))
     return rows.select(
