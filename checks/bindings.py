@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,17 +178,26 @@ def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_path_columns(files, F.col("path"))
 
 
-_ROOTS: dict[tuple[str, str], str] = {}
+_MADE: dict[tuple[str, str, str], object] = {}
+_LOCK = threading.RLock()
+
+
+def once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object]) -> object:
+    """Something written from the tables, made once per session."""
+    known = (spark.sparkContext.applicationId, sf_dir, what)
+    with _LOCK:
+        if known not in _MADE:
+            _MADE[known] = make()
+        return _MADE[known]
 
 
 def snapshot_root(spark: SparkSession, sf_dir: str) -> str:
-    """The events written as JSON snapshot files, one extraction per run, once per session.
+    """The events written as JSON snapshot files, one extraction per run."""
+    return once(spark, sf_dir, "snapshots", lambda: write_runs(spark, sf_dir))
 
-    Posts: the last event per community and user. Comments: one per event.
-    """
-    known = (spark.sparkContext.applicationId, sf_dir)
-    if known in _ROOTS:
-        return _ROOTS[known]
+
+def write_runs(spark: SparkSession, sf_dir: str) -> str:
+    """Posts: the last event per community and user. Comments: one per event."""
     root = new_folder(spark, "snapshots")
     posts = snapshot_posts(spark, sf_dir)
     comments = snapshot_comments(spark, sf_dir).withColumn("id", text("c", key("position")))
@@ -200,7 +211,6 @@ def snapshot_root(spark: SparkSession, sf_dir: str) -> str:
         )
         said = comments.where(F.col("ingest_date") == date).drop("ingest_date", *dropped)
         write_snapshots(said, root, date=date, snapshot_at=at, payload="comments", order=["position"])
-    _ROOTS[known] = root
     return root
 
 

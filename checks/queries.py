@@ -858,25 +858,23 @@ def published_layers(spark, sf_dir):
 # --- streams ---
 
 
-_STREAMED: dict[tuple[str, str], Tables] = {}
-
-
 def _new_tables(spark: SparkSession, label: str) -> Tables:
     base = new_folder(spark, label)
     return Tables(spark, base, prefix="t" + base.rsplit("-", 1)[1] + "_", buckets=4).create()
 
 
-def _streamed(spark, sf_dir, max_files=8):
-    """The snapshot files fed through the medallion by a stream, a few per batch, once a session."""
-    known = (spark.sparkContext.applicationId, sf_dir)
-    if known not in _STREAMED:
+def _streamed(spark, sf_dir) -> Tables:
+    """The snapshot files fed through the medallion by a stream, some files per batch."""
+    root = b.snapshot_root(spark, sf_dir)
+
+    def stream() -> Tables:
         made = _new_tables(spark, "medallion")
-        stream = ingest.start_medallion(
-            made, b.snapshot_root(spark, sf_dir), checkpoint=f"{made.root}/_checkpoint", max_files=max_files
-        )
-        stream.awaitTermination()
-        _STREAMED[known] = made
-    return _STREAMED[known]
+        ingest.start_medallion(
+            made, root, checkpoint=f"{made.root}/_checkpoint", max_files=8
+        ).awaitTermination()
+        return made
+
+    return b.once(spark, sf_dir, "medallion", stream)
 
 
 @query

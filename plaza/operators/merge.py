@@ -48,19 +48,25 @@ def _have_keys(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
 
 
-def unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose key is not in the target; a NULL in the key never matches.
+def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key is in the source; a NULL in the key never matches."""
+    return target.join(source.select(*keys).where(_have_keys(keys)), list(keys), "left_semi")
 
-    The target is read for its keys only, first cut down to the source's keys, so neither
-    copies of one key nor the size of the target reach the anti join.
+
+def _common_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys that both sides have.
+
+    Each side is made distinct first, so a key with many copies is one row before the
+    shuffle. If the source's keys are few, Spark moves the semi join below the target's
+    distinct and broadcasts them: the target is then filtered in place.
     """
-    present = matched_rows(target.select(*keys), source, keys).distinct()
-    return source.join(present, list(keys), "left_anti")
+    wanted = source.select(*keys).where(_have_keys(keys)).distinct()
+    return target.select(*keys).distinct().join(wanted, list(keys), "left_semi")
 
 
-def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is in the source."""
-    return target.join(source.select(*keys).where(_have_keys(keys)), list(keys), "left_semi")
+def unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows whose key is not in the target. The target is read for its keys only."""
+    return source.join(_common_keys(target, source, keys), list(keys), "left_anti")
 
 
 def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -68,28 +74,30 @@ def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return target.unionByName(unmatched(source, target, keys).select(*target.columns))
 
 
+def _clashes(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Column:
+    """How many target keys have several source rows, as a scalar subquery."""
+    repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1)
+    return repeated.join(_common_keys(target, source, keys), list(keys), "left_semi").agg(F.count(F.lit(1))).scalar()
+
+
 def _updated(
     target: DataFrame, source: DataFrame, keys: Sequence[str], guard: Guard, update: Sequence[str]
 ) -> DataFrame:
     values = [name for name in source.columns if name not in keys and name in target.columns]
-    incoming = (
-        source.where(_have_keys(keys))
-        .groupBy(*[F.col(key).alias(f"_key_{key}") for key in keys])
-        .agg(
-            F.count(F.lit(1)).alias("_copies"),
-            F.first(F.struct(*values, F.lit(True).alias("_any"))).alias("_new"),
-        )
+    incoming = source.where(_have_keys(keys)).select(
+        *[F.col(key).alias(f"_key_{key}") for key in keys],
+        F.struct(*values, F.lit(True).alias("_any")).alias("_new"),
     )
     same_key = reduce(lambda a, b: a & b, [F.col(key) == F.col(f"_key_{key}") for key in keys])
 
     def new(name: str) -> Column:
         return F.col(name) if name in keys else F.col(f"_new.{name}")
 
-    clash = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
-    take = F.col("_copies").isNotNull() & F.coalesce(guard(new, F.col), F.lit(False))
+    error = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
+    take = F.col("_new").isNotNull() & F.coalesce(guard(new, F.col), F.lit(False))
     return (
-        target.join(incoming, same_key, "left")
-        .where(F.when(F.col("_copies") > 1, clash).otherwise(True))
+        target.where(F.when(_clashes(target, source, keys) > 0, error).otherwise(True))
+        .join(incoming, same_key, "left")
         .withColumn("_take", take)
         .select(
             *[
@@ -113,9 +121,10 @@ def upsert(
     """The target after MERGE: matched rows updated where ``guard`` holds, others inserted.
 
     ``update`` limits the columns that an update sets (default: all but the keys). Several
-    source rows for one target row raise an error. The target is the streamed side of a left
-    join with one row per source key, so a small source is broadcast and the target is not
-    shuffled at all; a large source gives a sort-merge join whose hot target keys AQE splits.
+    source rows for one target row raise an error. The target streams through a left join,
+    so a small source is broadcast and the target is not shuffled at all; with a large
+    source both sides are shuffled and AQE splits hot target keys, which it could not do in
+    a full outer join. The source is read several times: give a written table.
     """
     changed = [name for name in target.columns if name not in keys] if update is None else list(update)
     kept = _updated(target, source, keys, guard, changed)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plaza.operators.skew import join_groups
+
 
 def collect_in_parts(
     df: DataFrame,
@@ -24,17 +25,14 @@ def collect_in_parts(
     share of the data is spread over as many parts as its size needs, by a hash of the
     ``order`` columns; these must tell its rows apart. No row is dropped.
     """
-    sizes = df.groupBy(*[F.col(key).alias(f"_key_{key}") for key in keys]).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(max_items)).cast("int").alias("_parts")
-    )
-    same_key = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_key_{key}")) for key in keys])
+    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_items)).cast("int").alias("_parts"))
     part = F.pmod(F.xxhash64(*order), F.col("_parts")).cast("int")
     element = F.struct(
         *[F.col(name).alias(f"_order{at}") for at, name in enumerate(order)],
         F.struct(*items).alias("_item"),
     )
     grouped = (
-        df.join(sizes, same_key)
+        join_groups(df, sizes, keys, "inner", order, null_safe=True)
         .withColumn("part", part)
         .groupBy(*keys, "part")
         .agg(F.array_sort(F.collect_list(element)).alias("_sorted"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plaza.functions.values import to_long
+from plaza.operators.skew import join_groups
 from plaza.sources.snapshots import WHERE_FROM
 
 # The fields every post must have.
@@ -61,9 +62,11 @@ def passing(profile: DataFrame, max_invalid: float = 0.5) -> DataFrame:
     return profile.where((F.col("posts") > 0) & (F.col("invalid") <= F.col("posts") * max_invalid))
 
 
-def lenient_gate(posts: DataFrame, profile: DataFrame, batch: Sequence[str] = ("community",)) -> DataFrame:
-    """Only the posts of passing batches."""
-    return posts.join(passing(profile), list(batch), "left_semi")
+def lenient_gate(
+    posts: DataFrame, profile: DataFrame, batch: Sequence[str] = ("community",), spread_by: Sequence[str] = ("raw",)
+) -> DataFrame:
+    """Only the posts of passing batches; ``spread_by`` tells the posts of a batch apart."""
+    return join_groups(posts, passing(profile).select(*batch), batch, "left_semi", spread_by)
 
 
 def strict_gate(posts: DataFrame, profile: DataFrame, batch: Sequence[str] = ("community",)) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plaza.functions.values import engagement, is_filled
 from plaza.operators.merge import upsert
+from plaza.operators.skew import join_groups
 from plaza.operators.topk import top_per_group
 
 SEEN_KEY = ["subreddit", "id"]
@@ -25,13 +26,13 @@ def communities_with_news(current: DataFrame, seen: DataFrame) -> DataFrame:
 
 def worth_saving(current: DataFrame, seen: DataFrame) -> DataFrame:
     """All posts of the communities that have at least one unseen post."""
-    return current.join(communities_with_news(current, seen), "subreddit", "left_semi")
+    return join_groups(current, communities_with_news(current, seen), ["subreddit"], "left_semi", ["id"])
 
 
 def next_seen(current: DataFrame, seen: DataFrame) -> DataFrame:
     """The ids to remember: replaced for communities with news, kept for the others."""
     fresh = worth_saving(current, seen).where(is_filled(F.col("id"))).select(*SEEN_KEY).distinct()
-    old = seen.join(communities_with_news(current, seen), "subreddit", "left_anti")
+    old = join_groups(seen, communities_with_news(current, seen), ["subreddit"], "left_anti", ["id"])
     return fresh.unionByName(old.select(*SEEN_KEY))
 
 

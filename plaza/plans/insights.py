@@ -12,6 +12,7 @@ from plaza.functions.dates import day
 from plaza.functions.values import to_long
 from plaza.operators.merge import upsert
 from plaza.operators.nesting import collect_in_parts
+from plaza.operators.skew import join_groups
 from plaza.operators.topk import top
 
 # The three kinds of insight, and where each keeps its item's name.
@@ -92,7 +93,7 @@ def latest_run(insights: DataFrame) -> DataFrame:
 
 def latest_run_per_community(insights: DataFrame) -> DataFrame:
     newest = insights.groupBy("subreddit").agg(F.max("execution_date").alias("execution_date"))
-    return insights.join(newest, ["subreddit", "execution_date"], "left_semi")
+    return join_groups(insights, newest, ["subreddit", "execution_date"], "left_semi", ["insight_type", "item_name"])
 
 
 

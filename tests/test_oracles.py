@@ -4,12 +4,12 @@ import pytest
 from conftest import SMALL
 
 from __spark_entry__ import entry, oracle_sql, queries
-from checks.compare import connect, differences
+from checks.compare import compare_all
 
 
 @pytest.fixture(scope="module")
-def database():
-    return connect(SMALL)
+def compared(spark):
+    return dict(compare_all(spark, SMALL, queries()))
 
 
 def test_every_query_has_sql():
@@ -21,5 +21,5 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_query_equals_its_sql(spark, database, name):
-    assert differences(queries()[name](spark, SMALL), database, oracle_sql()[name]) == []
+def test_query_equals_its_sql(compared, name):
+    assert compared[name] == []

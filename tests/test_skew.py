@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from plaza.operators import dedupe, merge, topk
+from plaza.operators import dedupe, merge, skew, topk
 from plaza.operators.nesting import collect_in_parts
 
 N = 30000
@@ -59,3 +59,28 @@ def test_hot_list_is_split(spark, skewed):
 def test_best_rows_of_a_hot_group(spark, skewed):
     best = topk.top_per_group(skewed, ["k"], [F.col("v").desc()], 3)
     assert rows(best.where("k = 'hot'"), "v", "rank") == [(N - 9, 3), (N - 6, 2), (N - 3, 1)]
+
+
+def test_rows_meet_their_group_once_in_every_kind_of_join(spark, skewed):
+    groups = spark.createDataFrame([("hot", 1), ("k1", 2), ("absent", 3)], "k string, g int")
+    found = {
+        how: skew.join_groups(skewed, groups, ["k"], how, ["v"]).count()
+        for how in ("inner", "left", "left_semi", "left_anti")
+    }
+    plain = {how: skewed.join(groups, "k", how).count() for how in found}
+    assert found == plain and plain["inner"] > N // 3
+
+
+def test_a_hot_group_is_spread_over_tasks(spark, skewed):
+    groups = skewed.groupBy("k").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        joined = skew.join_groups(skewed, groups, ["k"], "inner", ["v"])
+        per_task = joined.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert per_task < N // 4  # the hot key alone has a third
