@@ -1,14 +1,14 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from conftest import rows
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from plaza.operators import merge
-from plaza.session import new_folder
+from plaza.session import new_folder, stage
 from plaza.sources import tables
 
 DDL = "k string, v bigint, d string"
@@ -73,22 +73,35 @@ def test_file_order_breaks_ties_of_a_day(spark):
         assert rows(merge.upsert(one, other, ["k"], guard=guard)) == [("a", 2, "d1")]
 
 
-ITEM = st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 3), st.sampled_from(["1", "2", "3"]))
+KEYS = ["case", "k"]
+
+
+def random_case(seed):
+    """Old and new rows of one case, at most one per key and side, and what a merge must give."""
+    pick = random.Random(seed)
 
+    def side():
+        chosen = pick.sample(["a", "b", "c", None], pick.randint(0, 4))
+        return [(seed, key, pick.randint(0, 3), pick.choice("123")) for key in chosen]
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(ITEM, max_size=6, unique_by=lambda r: r[0]), st.lists(ITEM, max_size=6, unique_by=lambda r: r[0]))
-def test_upsert_agrees_with_a_dictionary(spark, old, new):
-    expected = {row[0]: row for row in old if row[0] is not None}
-    loose = [row for row in old + new if row[0] is None]
+    old, new = side(), side()
+    expected = {row[1]: row for row in old if row[1] is not None}
     for row in new:
-        if row[0] is not None and (row[0] not in expected or row[2] >= expected[row[0]][2]):
-            expected[row[0]] = row
-    guard = merge.not_older("d")
-    once = merge.upsert(frame(spark, old), frame(spark, new), ["k"], guard=guard)
-    assert rows(once) == rows(frame(spark, [*expected.values(), *loose]))
-    keyed = frame(spark, [row for row in new if row[0] is not None])
-    assert rows(merge.upsert(once, keyed, ["k"], guard=guard)) == rows(once)
+        if row[1] is not None and (row[1] not in expected or row[3] >= expected[row[1]][3]):
+            expected[row[1]] = row
+    loose = [row for row in old + new if row[1] is None]
+    return old, new, [*expected.values(), *loose]
+
+
+def test_upsert_agrees_with_a_dictionary_and_repeats(spark):
+    cases = [random_case(seed) for seed in range(300)]
+    old, new, expected = ([row for case in cases for row in case[at]] for at in range(3))
+    ddl = "case int, k string, v int, d string"
+    target, source = spark.createDataFrame(old, ddl), spark.createDataFrame(new, ddl)
+    once = stage(merge.upsert(target, source, KEYS, guard=merge.not_older("d")))
+    assert rows(once) == rows(spark.createDataFrame(expected, ddl))
+    again = merge.upsert(once, source.where("k IS NOT NULL"), KEYS, guard=merge.not_older("d"))
+    assert rows(again) == rows(once)
 
 
 @pytest.fixture
