@@ -14,7 +14,7 @@ from plaza.functions import dates, text, values
 from plaza.operators import dedupe, merge, quality, state, topk
 from plaza.plans import context, fallback, gold, insights, publish, serve, silver
 from plaza.plans.medallion import Tables
-from plaza.session import new_folder
+from plaza.session import new_folder, stage
 from plaza.sources import listings, paths, sinks, snapshots, tables
 from plaza.streaming import ingest
 
@@ -310,7 +310,7 @@ def _before_and_after(spark, sf_dir):
     order = [F.col("event_id").desc()]
     before = dedupe.dedupe_ranked(events.where(F.col("day") < SPLIT), ["user_id"], order)
     after = dedupe.dedupe_ranked(events.where(F.col("day") >= SPLIT), ["user_id"], order)
-    return before, after
+    return stage(before, "before"), stage(after, "after")
 
 
 @query
@@ -323,7 +323,7 @@ def merge_insert_only(spark, sf_dir):
         events.where(F.col("event_type") == "view"), ["user_id", "day"], [F.col("event_id").asc()]
     )
     batch = dedupe.dedupe_ranked(events, ["user_id", "day"], [F.col("event_id").desc()])
-    return merge.insert_new(known, batch, ["user_id", "day"])
+    return merge.insert_new(known, stage(batch), ["user_id", "day"])
 
 
 @query
@@ -331,7 +331,7 @@ def merge_guarded_update(spark, sf_dir):
     """Both ways round: newer days replace older ones, older days change nothing."""
     before, after = _before_and_after(spark, sf_dir)
     guard = merge.not_older("day")
-    forward = merge.upsert(before, after, ["user_id"], guard=guard)
+    forward = stage(merge.upsert(before, after, ["user_id"], guard=guard))
     return merge.upsert(forward, before, ["user_id"], guard=guard).drop("computed_at")
 
 
@@ -368,7 +368,7 @@ def merge_insights(spark, sf_dir):
         rows.where(F.col("execution_date") >= SPLIT).withColumns({"execution_date": half, "model_version": F.lit("m2")}),
         insights.INSIGHT_KEY, [F.col("event_id").desc()],
     ).drop("event_id")
-    merged = insights.upsert_insights(old, new)
+    merged = insights.upsert_insights(stage(old), stage(new))
     return merged.withColumns(
         {"generated_at": as_text("generated_at"), "execution_date": F.col("execution_date").cast("string")}
     )

@@ -124,7 +124,7 @@ def upsert(
     source rows for one target row raise an error. The target streams through a left join,
     so a small source is broadcast and the target is not shuffled at all; with a large
     source both sides are shuffled and AQE splits hot target keys, which it could not do in
-    a full outer join. The source is read several times: give a written table.
+    a full outer join. Both sides are read more than once: give written tables, or ``stage`` them.
     """
     changed = [name for name in target.columns if name not in keys] if update is None else list(update)
     kept = _updated(target, source, keys, guard, changed)

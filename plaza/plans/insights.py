@@ -81,7 +81,10 @@ def _item(kind: str, name: str) -> Callable[[Column], Column]:
 
 
 def upsert_insights(insights: DataFrame, rows: DataFrame) -> DataFrame:
-    """All new rows in one merge; a known item gets new mentions, context, time and model."""
+    """All new rows in one merge; a known item gets new mentions, context, time and model.
+
+    As for every merge, give written tables: both sides are read more than once.
+    """
     return upsert(insights, rows, INSIGHT_KEY, update=INSIGHT_VALUES)
 
 
