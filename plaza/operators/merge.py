@@ -9,14 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaza.session import stage
-from plaza.sources.tables import clear_partition, insert, open_table
+from plaza.sources.tables import ROW_LEVEL_PROVIDERS, clear_partition, insert, open_table
 
 # A guard gets a function for the new and one for the old value of a column.
 Side = Callable[[str], Column]
 Guard = Callable[[Side, Side], Column]
 
-ROW_LEVEL_PROVIDERS = ("delta", "iceberg")
-
 
 def always(new: Side, old: Side) -> Column:
     return F.lit(True)
@@ -213,6 +211,15 @@ def _native_merge(
     writer.whenNotMatched().insertAll().merge()
 
 
+def _native_replace(table: str, touched: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> None:
+    gone = touched.select(*keys).distinct().alias("source")
+    same_key = reduce(
+        lambda a, b: a & b, [F.col(f"{table}.{key}").eqNullSafe(F.col(f"source.{key}")) for key in keys]
+    )
+    gone.mergeInto(table, same_key).whenMatched().delete().merge()
+    insert(fresh, table)
+
+
 def replace_rows(
     spark: SparkSession, table: str, touched: DataFrame, fresh: DataFrame, keys: Sequence[str], partition: str
 ) -> None:
@@ -221,6 +228,9 @@ def replace_rows(
     A touched key without a fresh row disappears. ``partition`` must follow from the keys and
     be a column of ``touched``; only its partitions are read and written.
     """
+    if _provider(spark, table) in ROW_LEVEL_PROVIDERS:
+        _native_replace(table, touched, stage(fresh, "replace"), keys)
+        return
     there = _values(touched, partition)
     scope = open_table(spark, table).where(_in(partition, there))
     gone = touched.select(*[F.col(key).alias(f"_key_{key}") for key in keys]).distinct()

@@ -172,3 +172,17 @@ def test_row_level_formats_get_the_native_merge(spark, table, monkeypatch):
         merge.merge_table(
             spark, table, with_p(spark, [("a", 1, "1", "p1")]), ["k"], partition="p", guard=merge.not_older("d")
         )
+    one = with_p(spark, [("a", 1, "1", "p1")])
+    with pytest.raises(PySparkException, match="MERGE"):
+        merge.replace_rows(spark, table, one.select("k", "p"), one, ["k"], "p")
+
+
+def test_other_file_formats(spark):
+    name = "t" + new_folder(spark, "x").rsplit("-", 1)[1]
+    tables.create_table(
+        spark, name, "k STRING, v BIGINT, d STRING, p STRING", location=new_folder(spark, "orc"), partition="p",
+        provider="orc",
+    )
+    for v in (1, 2):
+        merge.merge_table(spark, name, with_p(spark, [("a", v, "1", "p1"), (f"b{v}", v, "1", "p2")]), ["k"], partition="p")
+    assert rows(tables.open_table(spark, name), "k", "v") == [("a", 2), ("b1", 1), ("b2", 2)]
