@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int) -> I
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         first, held = 0, 0
         for row, size in enumerate(sizes):
             if held and held + size > most_bytes:

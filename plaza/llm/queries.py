@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plaza.llm import mixing, quality_rules
+from plaza.llm import mixing, packing, quality_rules, token_files
 from plaza.llm.common import table
+from plaza.session import new_folder
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,9 +20,19 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), TOKENIZER, path)
+    return token_files.read_token_files(spark, path)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_mix_sources, op4_quality_rules)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_mix_sources, op2_best_fit_packing, op3_token_files, op4_quality_rules)}
 ORACLES: dict[str, str] = {"op1_mix_sources": mixing.ORACLE, "op4_quality_rules": quality_rules.ORACLE}
