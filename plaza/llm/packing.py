@@ -114,11 +114,17 @@ def solve(counts: np.ndarray, capacity: int, rounds: int, step: float = 0.34, ra
 
 
 def rounded(counts: np.ndarray, solved: list[tuple[float, np.ndarray]], capacity: int) -> list[Configuration]:
-    """Whole uses of the solution's configurations, then the rest by best fit, equal sequences together."""
+    """Whole uses of the solution's full configurations, then the rest by best fit, equal sequences together.
+
+    The last configurations of the solution serve lengths that lack partners; rounded up, each would
+    cost a sequence, so what is not full up to 1 in 256 is left to the best fit.
+    """
     rest, chosen = counts.astype(np.int64).copy(), []
     lengths = np.arange(capacity + 1)
-    for amount, config in sorted(solved, key=lambda x: -int((x[1] * lengths).sum())):
+    for amount, config in solved:
         used = np.flatnonzero(config)
+        if (config * lengths).sum() < capacity - capacity // 256:
+            continue
         times = int(min(np.floor(amount + 1e-6), (rest[used] // config[used]).min()))
         if times:
             rest -= times * config
@@ -128,7 +134,6 @@ def rounded(counts: np.ndarray, solved: list[tuple[float, np.ndarray]], capacity
         while room and len(fitting := np.flatnonzero((rest[: room + 1] - config[: room + 1]) > 0)):
             length = int(fitting[-1])
             many = min(int(rest[length] - config[length]), room // length)
-            # Best fit: one piece less if a piece of exactly the wider gap is there.
             config[length] += many
             room -= many * length
         used = np.flatnonzero(config)
@@ -156,7 +161,7 @@ def slots(plan: list[Configuration], capacity: int) -> dict[int, tuple[np.ndarra
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 0, rounds: int = 1200,
+    docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 0, rounds: int = 400,
     id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False,
 ) -> DataFrame:
     """Place every piece of every document: the columns of cut_documents, ``sequence_id``, ``offset``.
