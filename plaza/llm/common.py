@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plaza.session import new_folder
+
 # Rows per Arrow batch: a batch of documents stays small although some are very long.
 BATCH_ROWS = "512"
 
@@ -56,3 +58,32 @@ def unit(hashed: Column) -> Column:
 
 def log_factorials(most: int) -> list[float]:
     return [math.lgamma(k + 1) for k in range(most + 1)]
+
+
+# Shuffle files of a finished write go at once instead of when the driver collects garbage.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Scratch:
+    """Intermediate tables of one operator in the shared folder, which are dropped when they have served.
+
+    Lineage is cut by them, so a lost executor costs the running step only.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        path, before = new_folder(self.spark, label), self.spark.conf.get(CLEAN, "false")
+        self.spark.conf.set(CLEAN, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEAN, before)
+        self.paths[label] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *labels: str) -> None:
+        for label in labels:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(label))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plaza.llm import language, mixing, packing, quality_rules, token_files
+from plaza.llm import language, mixing, ngram_join, packing, quality_rules, token_files
 from plaza.llm.common import table
 from plaza.session import new_folder
 
@@ -38,5 +38,9 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_language(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_mix_sources, op2_best_fit_packing, op3_token_files, op4_quality_rules, op5_language_id)}
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents")).drop("row")
+
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_mix_sources, op2_best_fit_packing, op3_token_files, op4_quality_rules, op5_language_id, op6_ngram_join)}
 ORACLES: dict[str, str] = {"op1_mix_sources": mixing.ORACLE, "op4_quality_rules": quality_rules.ORACLE}
