@@ -6,6 +6,7 @@ import functools
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 from pathlib import Path
 
@@ -19,7 +20,12 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 # Fixed value: the word pattern that the pre-tokenizer "ByteLevel" with use_regex applies.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
-MOST_WORDS = 400_000  # in the cache of a Python worker, then it is emptied
+# Characters whose kind all versions of Unicode agree on, without those that engines class differently as spaces.
+PLAIN = re.compile(r"[\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u024f]*")
+PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+
+SHORT = 8  # words up to this length are kept together with punctuation
+MOST_WORDS = 500_000  # met lately by a Python worker; as many older ones are kept
 
 
 def tokenizer_file(path: str) -> str:
@@ -27,13 +33,13 @@ def tokenizer_file(path: str) -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
-def _byte_letters() -> dict[int, str]:
+def _byte_letters() -> list[str]:
     """The printable letter that byte-level models use for each byte."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     letters = {byte: chr(byte) for byte in printable}
     for byte in range(256):
         letters.setdefault(byte, chr(256 + len(letters) - len(printable)))
-    return letters
+    return [letters[byte] for byte in range(256)]
 
 
 class Encoder:
@@ -59,32 +65,67 @@ class Encoder:
         )
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.letters = {byte: letter for byte, letter in _byte_letters().items() if chr(byte) != letter}
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.letters = _byte_letters()
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        # Ids of words after a space: those met lately, and those met before them; and of short parts without one.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(found.ids, self.dtype).tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """Ids of what the word pattern takes as one."""
+        letters = "".join(map(self.letters.__getitem__, word.encode()))
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+
     def _part(self, part: str) -> bytes:
         """Ids of one part: by the model, word by word, where the pattern is beyond doubt (up to Latin letters)."""
-        if max(part) >= "ɐ" or any("\x1c" <= c <= "\x1f" for c in part):
+        if not PLAIN.fullmatch(part):
             return self._whole(part)
-        ids = []
-        for word in WORDS.findall(part):
-            ids += [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
-        return np.array(ids, self.dtype).tobytes()
+        return b"".join([self._word(word) for word in WORDS.findall(part)])
+
+    def _bare(self, part: str) -> bytes:
+        """Ids of a part that no space comes before."""
+        ids = self.bare.get(part)
+        if ids is None:
+            ids = self._part(part)
+            if len(part) < 32:
+                if len(self.bare) >= MOST_WORDS // 10:
+                    self.bare = {}
+                self.bare[part] = ids
+        return ids
 
-    def _known(self, part: str, cache: dict[str, bytes], space: str) -> bytes:
-        ids = cache.get(part)
+    def _later(self, part: str) -> bytes:
+        """Ids of a part after a space. What ends in punctuation or goes on in a new line is put together."""
+        ids = self.young.get(part)
+        if ids is not None:
+            return ids
+        before, line, after = part.partition("\n")
+        if line and before and after and not before[-1].isspace() and not after[0].isspace():
+            ids, tail = self._later(before), after
+            while line:
+                after, line, tail = tail.partition("\n")
+                if not after or after[0].isspace() or after[-1].isspace() or (line and (not tail or tail[0].isspace())):
+                    return self._part(" " + part)
+                ids += self._bare("\n") + self._bare(after)
+            return ids
+        stem = part.rstrip(PUNCTUATION)
+        if stem != part and stem.isalpha() and PLAIN.fullmatch(stem):
+            ids = self._later(stem) + self._bare(part[len(stem) :])
+            if len(part) > SHORT:
+                return ids
+        else:
+            ids = self.old.get(part)
         if ids is None:
-            if len(cache) >= MOST_WORDS:
-                cache.clear()
-            ids = self._part(space + part)
-            # Only parts that are safe to find by a split at every space may be found again.
-            if len(part) < 64 and not part[0].isspace() and not part[-1].isspace():
-                cache[part] = ids
+            ids = self._word(" " + part) if part.isalpha() and PLAIN.fullmatch(part) else self._part(" " + part)
+        # Only parts that are safe to find by a split at every space may be found again.
+        if part and len(part) < 64 and not part[0].isspace() and not part[-1].isspace():
+            if len(self.young) >= MOST_WORDS:
+                self.old, self.young = self.young, {}
+            self.young[part] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
@@ -93,14 +134,16 @@ class Encoder:
             return b""
         if not self.cuts:
             return self._whole(text)
-        parts = text.split(" ")
-        try:
-            return self.first[parts[0]] + b"".join(map(self.later.__getitem__, parts[1:]))
-        except KeyError:
-            pass
-        if any(p not in self.later and (not p or p[0].isspace() or p[-1].isspace()) for p in parts):
-            parts = CUT.split(text)
-        return self._known(parts[0], self.first, "") + b"".join([self._known(p, self.later, " ") for p in parts[1:]])
+        first, *rest = text.split(" ")
+        found = list(map(self.young.get, rest))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        if (rest and (not first or first[-1].isspace())) or any(not (p := rest[k]) or p[0].isspace() or p[-1].isspace() for k in missing):
+            first, *rest = CUT.split(text)
+            found = [self._later(p) for p in rest]
+        else:
+            for k in missing:
+                found[k] = self._later(rest[k])
+        return self._bare(first) + b"".join(found)
 
     def ids(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
         for text in texts:
