@@ -201,7 +201,7 @@ def path_scores(nodes: list[Node], smooth: float = 1.0) -> np.ndarray:
     def smoothed(x: np.ndarray) -> np.ndarray:
         return np.convolve(x, kernel, "full")[2 : 2 + len(nodes)] / weight
 
-    return smoothed(text_ratio) * (1 + smoothed(mark_ratio)) * np.sqrt(size / whole)
+    return smoothed(text_ratio) * (1 + smoothed(mark_ratio)) * (size / whole) ** 2
 
 
 def main_text(page: str | None, *, share: float = 0.1, trust: float = 20.0) -> str:

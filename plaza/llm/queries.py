@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plaza.llm import embedding_join, html_text, language, mixing, ngram_join, packing, quality_rules, token_files, url_filter
+from plaza.llm import embedding_join, html_text, language, mixing, ngram_join, packing, quality_rules, secret_scan, token_files, url_filter
 from plaza.llm.common import table
 from plaza.session import new_folder
 
@@ -50,9 +50,13 @@ def op8_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_mix_sources, op2_best_fit_packing, op3_token_files, op4_quality_rules, op5_language_id, op6_ngram_join, op7_html_text, op8_embedding_near_dup, op10_url_filter)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_mix_sources, op2_best_fit_packing, op3_token_files, op4_quality_rules, op5_language_id, op6_ngram_join, op7_html_text, op8_embedding_near_dup, op9_secret_scan, op10_url_filter)}
 ORACLES: dict[str, str] = {"op1_mix_sources": mixing.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op8_embedding_near_dup": embedding_join.ORACLE, "op10_url_filter": url_filter.ORACLE}
