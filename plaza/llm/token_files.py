@@ -25,9 +25,9 @@ from plaza.llm.tokens import encoder, tokenizer_file
 from plaza.session import stage
 
 SCALE = 20  # frequencies sum to 2**SCALE
-LANES = 512
+LANES = 1024
 CHECK = 256  # rows of LANES tokens between checkpoints
-BLOCK = 1 << 19  # tokens after which a block ends with its document
+BLOCK = 1 << 20  # tokens after which a block ends with its document
 LOW = np.uint64(1 << 31)  # states stay in [2**31, 2**63), words of 32 bits go out and in
 BATCH_BYTES = 4 << 20
 END = 2
@@ -165,19 +165,21 @@ def write_token_files(
     def unpacked(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         press = zstandard.ZstdDecompressor()
         for n, data in zip(batch.column("n_tokens").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-            planes = np.frombuffer(press.decompress(data), np.uint8).reshape(-1, n)
-            ids = np.zeros((n, 4), np.uint8)
-            ids[:, : len(planes)] = planes.T
-            yield ids.reshape(-1).view("<u4")
+            low, high, *more = np.frombuffer(press.decompress(data), np.uint8).reshape(-1, n).astype(np.uint32)
+            ids = (high << np.uint32(8)) | low
+            for k, plane in enumerate(more):
+                ids |= plane << np.uint32(16 + 8 * k)
+            yield ids
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1, np.int64)
         for batch in batches:
-            for ids in unpacked(batch):
-                own = np.bincount(ids)
-                if len(own) > len(counts):
-                    counts = np.concatenate((counts, np.zeros(len(own) - len(counts), np.int64)))
-                counts[: len(own)] += own
+            if not batch.num_rows:
+                continue
+            own = np.bincount(np.concatenate(list(unpacked(batch))))
+            if len(own) > len(counts):
+                counts = np.concatenate((counts, np.zeros(len(own) - len(counts), np.int64)))
+            counts[: len(own)] += own
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["token", "n"])
 
