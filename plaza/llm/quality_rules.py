@@ -110,7 +110,7 @@ def verdict(rules: Sequence[Rule]) -> Column:
     """The table of rules as one condition over the counts."""
 
     def holds(rule: Rule) -> Column:
-        ratio = F.col(rule.top) / F.col(rule.bottom)
+        ratio = F.try_divide(F.col(rule.top), F.col(rule.bottom))
         sides = [ratio >= rule.least] if rule.least is not None else []
         sides += [ratio <= rule.most] if rule.most is not None else []
         return F.coalesce(reduce(lambda a, b: a & b, sides, F.lit(True)), F.lit(True))
