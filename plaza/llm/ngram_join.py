@@ -1,6 +1,6 @@
 """Jaccard join of documents on word n-grams, with an R-tree over their count vectors.
 
-The points are vectors that count, for each of GROUPS groups, the shingles hashed to it. Two sets
+The points are vectors that count, for each of a number of groups, the shingles hashed to it. Two sets
 share at most the sum of the smaller counts, and so two R-tree nodes at most the sum over the smaller
 of their upper corners; pairs below the wanted overlap are skipped. Such bounds are loose near the
 root, where random texts of one length look alike, so the tree's upper levels are exact: documents
@@ -26,7 +26,9 @@ from plaza.llm.components import connected_components
 
 SHINGLE = 5
 PERCENT = 80
-GROUPS = 128  # a power of two
+GROUPS = 128  # at least, for a set; a power of two
+PER_GROUP = 8  # shingles in a group at most, on average: with more, random texts look alike
+FULL = 255  # a count of so many or more
 LEAF = 32  # points in a leaf of the tree
 BLOCK = 1024  # points of one shingle and size that meet in one task
 BATCH_BYTES = 4 << 20
@@ -111,13 +113,24 @@ def shingle_sets(texts: Sequence[str | None]) -> list[np.ndarray]:
 
 
 def count_vector(shingles: np.ndarray) -> bytes:
-    """How many shingles fall into each group, in a byte each if all are small."""
-    counts = np.bincount((shingles & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-    return counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes()
+    """How many shingles fall into each group, in a byte each."""
+    groups = max(GROUPS, 1 << max(0, (len(shingles) - 1) // PER_GROUP).bit_length())
+    counts = np.bincount((shingles & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return np.minimum(counts, FULL).astype(np.uint8).tobytes()
 
 
 def vectors(packed: Sequence[bytes]) -> np.ndarray:
-    return np.stack([np.frombuffer(x, np.uint8 if len(x) == GROUPS else np.uint32).astype(np.int32) for x in packed])
+    """Count vectors of one length: longer ones are folded, as their groups are parts of the shorter ones'.
+
+    A count that did not fit into a byte is taken as a very large one, so that a bound stays one.
+    """
+    groups = min(map(len, packed))
+    found = np.empty((len(packed), groups), np.int32)
+    for k, one in enumerate(packed):
+        counts = np.frombuffer(one, np.uint8).astype(np.int32)
+        counts[counts == FULL] = 1 << 20
+        found[k] = counts.reshape(-1, groups).sum(axis=0) if len(counts) > groups else counts
+    return found
 
 
 def _wanted(a, b, percent: int):
@@ -153,8 +166,8 @@ class CountTree:
             pairs = pairs[100 * high[a] >= percent * low[b]]
             a, b = pairs.T
             kept = [
-                np.minimum(top[a[k : k + 4096]], top[b[k : k + 4096]]).sum(axis=1) >= _wanted(low[a[k : k + 4096]], low[b[k : k + 4096]], percent)
-                for k in range(0, len(pairs), 4096)
+                np.minimum(top[a[k : k + 512]], top[b[k : k + 512]]).sum(axis=1) >= _wanted(low[a[k : k + 512]], low[b[k : k + 512]], percent)
+                for k in range(0, len(pairs), 512)
             ]
             pairs = pairs[np.concatenate(kept)] if kept else pairs
         return pairs
@@ -217,7 +230,8 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                most = np.minimum(vectors(batch.column("ca").to_pylist()), vectors(batch.column("cb").to_pylist())).sum(axis=1)
+                both = zip(batch.column("ca").to_pylist(), batch.column("cb").to_pylist(), strict=True)
+                most = np.array([np.minimum(*vectors(pair)).sum() for pair in both])
                 wanted = _wanted(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), percent)
                 yield batch.select(["a", "b"]).filter(pa.array(most >= wanted))
 
@@ -359,17 +373,18 @@ def jaccard_components(
     spark = docs.sparkSession
     scratch = Scratch(spark)
     known = scratch.write(profiles(docs, percent, id_col, text_col), "profiles")
+    # A set without shingles is a point of its own, which nothing reaches.
     node_of = known.filter("n > 0").groupBy("sig").agg(F.min("row").alias("node"))
-    members = scratch.write(
-        known.filter("n > 0").select("row", "doc_id", "n", "sig").join(node_of, "sig").drop("sig"), "members"
-    )
-    points = scratch.write(
-        known.join(members.filter("row = node").select("row"), "row", "left_semi")
-        .select(F.col("row").alias("node"), "doc_id", "sig", "n", "counts", "firsts"), "points",
-    )
-    tokens = points.select("node", F.explode("firsts").alias("token"))
+    rows = known.select("row", "doc_id", "n", "sig")
+    members = rows.filter("n > 0").join(node_of, "sig").select("row", "doc_id", "n", "node")
+    members = scratch.write(members.union(rows.filter("n = 0").select("row", "doc_id", "n", F.col("row").alias("node"))), "members")
+    first = members.filter("row = node and n > 0").select("row")
+    points = known.join(first, "row", "left_semi").select(F.col("row").alias("node"), "doc_id", "sig", "n", "counts")
+    points = scratch.write(points, "points")
+    tokens = known.join(first, "row", "left_semi").select(F.col("row").alias("node"), F.explode("firsts").alias("token"))
     met = tokens.groupBy("token").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last")
     shared = scratch.write(tokens.join(met.select("token", "leader"), "token"), "shared")
+    scratch.drop("profiles")
 
     stars = shared.filter("node > leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     stars = scratch.write(bounded(stars, points, percent), "stars")
@@ -389,9 +404,7 @@ def jaccard_components(
     found = connected_components(all_links)
     rooted = members.join(found, "node", "left").withColumn("root", F.coalesce("component", "node"))
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    linked = rooted.join(names, "root").select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = known.filter("n = 0").select("row", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return linked.union(alone)
+    return rooted.join(names, "root").select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
