@@ -191,6 +191,14 @@ def once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object]
         return _MADE[known]
 
 
+def put_file(spark: SparkSession, path: str, content: str) -> None:
+    """Write one small file below the shared folder, by Spark's file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+    stream.write(bytearray(content.encode()))
+    stream.close()
+
+
 def snapshot_root(spark: SparkSession, sf_dir: str) -> str:
     """The events written as JSON snapshot files, one extraction per run."""
     return once(spark, sf_dir, "snapshots", lambda: write_runs(spark, sf_dir))
@@ -282,6 +290,22 @@ def post_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts.select(F.col("id").cast("bigint").alias("page"), listing.alias("listing"))
 
 
+def deep_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as one chain of replies, a line answering the line before, as deep as it has lines."""
+    head, tail = '{"data":{"children":[{"kind":"t1","data":', "}]}}"
+    lines = table(spark, sf_dir, "documents").withColumn("lines", F.split("text", "\n"))
+
+    def opened(line: Column, at: Column) -> Column:
+        # The comment without its closing brace: its replies follow.
+        data = F.to_json(F.struct(text(key("doc_id"), "-", at.cast("string")).alias("id"), line.alias("body")))
+        return F.concat(F.lit(head), F.left(data, F.length(data) - 1), F.lit(',"replies":'))
+
+    chain = F.concat(
+        F.array_join(F.transform("lines", opened), ""), F.lit('""'), F.repeat(F.lit("}" + tail), F.size("lines"))
+    )
+    return lines.select(key("doc_id").alias("post_id"), chain.alias("listing"))
+
+
 def comment_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a nested comment tree: threads of three lines, each answering the last.
 

@@ -86,24 +86,48 @@ def snapshot_lineage(spark, sf_dir):
 
 @query
 def snapshot_counts_with_corrupt_file(spark, sf_dir):
-    """An unreadable file beside good ones counts as a snapshot and gives no rows."""
-    root = new_folder(spark, "corrupt")
-    posts = b.snapshot_posts(spark, sf_dir).where(F.col("ingest_date") == b.RUNS[0])
-    last = dedupe.dedupe_latest_snapshot(posts)
-    at = dt.datetime.fromisoformat(f"{b.RUNS[0]}T06:00:00")
-    sinks.write_snapshots(
-        last.drop("ingest_date", "community", "file_name", "source_file", "snapshot_at"), root,
-        date=b.RUNS[0], snapshot_at=at, order=["position"], max_items=10**6,
-    )
-    broken = spark.createDataFrame([("{invalid json",)], "value string").coalesce(1)
-    folder = f"{root}/reddit/community=click/date={b.RUNS[0]}"
-    broken.write.mode("append").option("mapreduce.output.basename", "raw_broken.json").text(folder)
-    glob = paths.snapshot_glob(root, "raw_*")
+    """An unreadable file beside good ones counts as a snapshot and gives no rows.
+
+    Every run of a community with more than 20 items is several files, and still one snapshot.
+    """
+    root = _split_snapshots(spark, sf_dir)
+    b.put_file(spark, f"{root}/reddit/community=click/date={b.RUNS[0]}/raw_broken.json", "{invalid json")
+    glob = paths.snapshot_glob(root)
     rows = snapshots.read_post_snapshots(spark, glob).groupBy(*PLACE).agg(F.count(F.lit(1)).alias("posts"))
-    files = paths.list_files(spark, glob).groupBy(*PLACE).agg(F.count(F.lit(1)).alias("snapshots"))
+    files = paths.snapshot_counts(paths.list_files(spark, glob)).select(*PLACE, "snapshots")
     return files.join(rows, PLACE, "left")
 
 
+def _split_snapshots(spark, sf_dir):
+    """All runs written with at most 20 items per file, so that most are several files."""
+    root = new_folder(spark, "split")
+    last = dedupe.dedupe_latest_snapshot(b.snapshot_posts(spark, sf_dir))
+    dropped = ["ingest_date", "community", "file_name", "source_file", "snapshot_at"]
+    for date in b.RUNS:
+        rows = last.where(F.col("ingest_date") == date).drop(*dropped)
+        at = dt.datetime.fromisoformat(f"{date}T06:00:00")
+        sinks.write_snapshots(rows, root, date=date, snapshot_at=at, order=["position"], max_items=20)
+    return root
+
+
+@query
+def split_snapshot_envelopes(spark, sf_dir):
+    """What the envelopes of split extractions say: each part of how many, and the count of the whole."""
+    glob = paths.snapshot_glob(_split_snapshots(spark, sf_dir))
+    schema = f"{schemas.POST_SNAPSHOT}, part INT, parts INT"
+    heads = snapshots.read_envelopes(spark, glob, schema)
+    return heads.select(*PLACE, "part", "parts", "count", F.size("posts").cast("bigint").alias("items"))
+
+
+@query
+def latest_files_of_split_snapshots(spark, sf_dir):
+    """The posts in the files of each community's latest extraction."""
+    glob = paths.snapshot_glob(_split_snapshots(spark, sf_dir))
+    chosen = [r["path"] for r in paths.latest_file_per_community(paths.list_files(spark, glob)).select("path").collect()]
+    rows = snapshots.read_post_snapshots(spark, chosen)
+    return rows.select("community", "ingest_date", "id", "score")
+
+
 @query
 def last_snapshot_times(spark, sf_dir):
     glob = paths.snapshot_glob(b.snapshot_root(spark, sf_dir))
@@ -116,7 +140,7 @@ def daily_snapshot_overwrite(spark, sf_dir):
     root = new_folder(spark, "daily")
     posts = b.snapshot_posts(spark, sf_dir)
     dropped = ["ingest_date", "community", "file_name", "source_file", "snapshot_at"]
-    for date in b.RUNS[:2]:
+    for date in b.RUNS:
         rows = dedupe.dedupe_latest_snapshot(posts.where(F.col("ingest_date") == date)).drop(*dropped)
         at = dt.datetime.fromisoformat(f"{date}T00:00:00")
         sinks.write_daily(rows, root, date=date, extracted_at=at, order=["position"])
@@ -180,10 +204,17 @@ def post_listing_first_occurrence(spark, sf_dir):
 
 @query
 def comment_tree_flattened(spark, sf_dir):
-    rows = listings.flatten_comment_tree(b.comment_trees(spark, sf_dir), max_depth=3)
+    rows = listings.flatten_comment_tree(b.comment_trees(spark, sf_dir), levels=2)
     return rows.select("id", "post_id", "parent_id", "author", "body", "score", "depth", "created_date")
 
 
+@query
+def deep_comment_tree_flattened(spark, sf_dir):
+    """Chains of replies as deep as a document has lines, which is far beyond one round."""
+    rows = listings.flatten_comment_tree(b.deep_trees(spark, sf_dir))
+    return rows.select("id", "post_id", "body", "depth", F.size("path").alias("path_length"))
+
+
 @query
 def insight_table_check(spark, sf_dir):
     """The partitioned insight table: created, filled, read back and validated."""
@@ -392,10 +423,15 @@ def merge_into_partitioned_table(spark, sf_dir):
 
 
 def _runs(spark, sf_dir):
-    """Ids per community of the last run and of the current one; signup has nothing new."""
+    """Ids per community of the last run and of the current one; signup and error have nothing new.
+
+    The last run has not seen the ids of other communities whose number divides by five.
+    """
     ids = b.snapshot_posts(spark, sf_dir).select("subreddit", "id", "ingest_date").distinct()
-    seen = ids.where((F.col("ingest_date") != b.RUNS[2]) | (F.col("subreddit") == "signup"))
-    return ids.where(F.col("ingest_date") == b.RUNS[2]).select("subreddit", "id"), seen.select("subreddit", "id").distinct()
+    old = F.pmod(F.substring("id", 2, 20).cast("bigint"), F.lit(5)) != 0
+    seen = ids.where(old | F.col("subreddit").isin("signup", "error"))
+    current = ids.where(F.col("ingest_date") == b.RUNS[2]).select("subreddit", "id")
+    return current, seen.select("subreddit", "id").distinct()
 
 
 @query
@@ -657,17 +693,17 @@ def trend_between_separate_weeks(spark, sf_dir):
 
 @query
 def insights_nested(spark, sf_dir):
-    rows = insights.insights_by_community(b.insights(spark, sf_dir))
+    rows = insights.insights_by_community(b.insights(spark, sf_dir), max_items=3)
     return rows.select(
-        "subreddit", "part", flat("insights", "insight_type", "item_name", "mentions", "context").alias("insights")
+        "subreddit", "part", "parts", "total", flat("insights", "insight_type", "item_name", "mentions", "context").alias("insights")
     )
 
 
 @query
 def insights_by_kind(spark, sf_dir):
-    rows = insights.nested_insights(b.insights(spark, sf_dir))
+    rows = insights.nested_insights(b.insights(spark, sf_dir), max_items=3)
     return rows.select(
-        "subreddit",
+        "subreddit", "part", "parts",
         *[flat(F.col("insights")[kind], "item_name", "mentions").alias(kind) for kind in insights.NAME_FIELD],
     )
 

@@ -53,6 +53,10 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 
 
 def dedupe_loaded(df: DataFrame, keys: Sequence[str] = ("id", "_ingest_date")) -> DataFrame:
-    """One Bronze row per id and day: latest load, then last file and position, then post_id."""
+    """One Bronze row per id and day: latest load, then last file and position, then post_id.
+
+    Rows without an id are no versions of each other: all of them stay.
+    """
     leading = ["_loaded_at", "_source_file", "file_name", "position", "post_id"]
-    return dedupe_ranked(df, keys, newest_first(df, leading))
+    known = dedupe_ranked(df.where(F.col("id").isNotNull()), keys, newest_first(df, leading))
+    return known.unionByName(df.where(F.col("id").isNull()))

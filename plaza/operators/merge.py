@@ -72,19 +72,14 @@ def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return target.unionByName(unmatched(source, target, keys).select(*target.columns))
 
 
-def _clashes(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Column:
-    """How many target keys have several source rows, as a scalar subquery."""
-    repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1)
-    return repeated.join(_common_keys(target, source, keys), list(keys), "left_semi").agg(F.count(F.lit(1))).scalar()
-
-
 def _updated(
     target: DataFrame, source: DataFrame, keys: Sequence[str], guard: Guard, update: Sequence[str]
 ) -> DataFrame:
+    """The target with the source's values, by one join: the source is one row per key before it,
+    and a key with several rows is an error where it meets a target row."""
     values = [name for name in source.columns if name not in keys and name in target.columns]
-    incoming = source.where(_have_keys(keys)).select(
-        *[F.col(key).alias(f"_key_{key}") for key in keys],
-        F.struct(*values, F.lit(True).alias("_any")).alias("_new"),
+    incoming = source.where(_have_keys(keys)).groupBy(*[F.col(key).alias(f"_key_{key}") for key in keys]).agg(
+        F.any_value(F.struct(*values, F.lit(True).alias("_any"))).alias("_new"), F.count(F.lit(1)).alias("_copies")
     )
     same_key = reduce(lambda a, b: a & b, [F.col(key) == F.col(f"_key_{key}") for key in keys])
 
@@ -94,8 +89,9 @@ def _updated(
     error = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
     take = F.col("_new").isNotNull() & F.coalesce(guard(new, F.col), F.lit(False))
     return (
-        target.where(F.when(_clashes(target, source, keys) > 0, error).otherwise(True))
-        .join(incoming, same_key, "left")
+        target.join(incoming, same_key, "left")
+        # A filter, as a projection that nobody reads could be dropped.
+        .where(F.when(F.col("_copies") > 1, error).otherwise(True))
         .withColumn("_take", take)
         .select(
             *[
@@ -146,17 +142,27 @@ def _in(column: str, values: Sequence[object]) -> Column:
 
 def append_new(
     spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], partition: str,
-    staged: bool = False,
+    staged: bool = False, varying: Sequence[str] = ("_loaded_at",),
 ) -> None:
     """Insert-only MERGE into a table: nothing is rewritten, unknown rows are appended.
 
     ``partition`` must be one of the keys, so only the source's partitions are looked at.
-    ``staged`` says that the source is a written table already.
+    ``staged`` says that the source is a written table already. A row without a key is known if
+    a stored one equals it in all columns but the ``varying`` ones, so a rerun adds nothing.
     """
     rows = source if staged else stage(source, "append")
     target = open_table(spark, table)
     scope = target.where(_in(partition, _values(rows, partition)))
-    insert(unmatched(rows, scope, keys), table, partition)
+    keyed = rows.where(_have_keys(keys))
+    fresh = unmatched(keyed, scope, keys).select(*target.columns)
+    loose = rows.where(~_have_keys(keys)).select(*target.columns)
+    if not loose.isEmpty():
+        # Rows without a key match stored rows that agree in all but the load's own columns.
+        compared = [name for name in target.columns if name not in varying]
+        stored = scope.where(~_have_keys(keys)).select(*[F.col(name).alias(f"_old_{name}") for name in compared]).distinct()
+        agree = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"_old_{name}")) for name in compared])
+        fresh = fresh.unionByName(loose.join(stored, agree, "left_anti"))
+    insert(fresh, table, partition)
 
 
 def merge_table(

@@ -4,10 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plaza.operators.skew import join_groups
+from plaza.session import stage
+
+
+def _ranks(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Number the rows of each key from 0 in the stated order, however many a key has.
+
+    Rows are sorted into ranges by key and order; a row's rank is its place within its range plus
+    the sizes of the key's earlier ranges. The ranges are written, so that both sides see the same.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(parts, *keys, *order).withColumn("_range", F.spark_partition_id())
+    ranged = stage(ranged, "ranges")
+    sizes = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range", *keys).orderBy(*order))
+    numbered = join_groups(ranged.withColumn("_place", place), starts, [*keys, "_range"], "inner", null_safe=True)
+    return numbered.withColumn("_rank", F.col("_start") + F.col("_place") - 1).drop("_start", "_place", "_range")
 
 
 def collect_in_parts(
@@ -19,22 +37,30 @@ def collect_in_parts(
     into: str,
     max_items: int = 1000,
 ) -> DataFrame:
-    """Per key, the rows as sorted lists of structs, in parts of about ``max_items``.
+    """Per key, the rows as sorted lists of structs: keys, part, parts, total and the list.
 
-    A key with few rows, the usual case, is one row with ``part`` 0. A key that holds a large
-    share of the data is spread over as many parts as its size needs, by a hash of the
-    ``order`` columns; these must tell its rows apart. No row is dropped.
+    Every list but the last of a key has ``max_items`` rows, and the parts follow each other in
+    the stated order, so their concatenation is sorted; ``total`` counts the key's rows. The
+    ``order`` columns must tell the rows of a key apart. No row is dropped.
     """
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_items)).cast("int").alias("_parts"))
-    part = F.pmod(F.xxhash64(*order), F.col("_parts")).cast("int")
     element = F.struct(
         *[F.col(name).alias(f"_order{at}") for at, name in enumerate(order)],
         F.struct(*items).alias("_item"),
     )
-    grouped = (
-        join_groups(df, sizes, keys, "inner", order, null_safe=True)
-        .withColumn("part", part)
-        .groupBy(*keys, "part")
-        .agg(F.array_sort(F.collect_list(element)).alias("_sorted"))
-    )
-    return grouped.select(*keys, "part", F.transform("_sorted", lambda row: row["_item"]).alias(into))
+    listed = F.transform(F.array_sort(F.collect_list(element)), lambda row: row["_item"]).alias(into)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
+    large = stage(sizes.where(F.col("total") > max_items), "large-keys")
+    shown = [*keys, "part", "parts", "total", into]
+
+    def whole(rows: DataFrame) -> DataFrame:
+        parts = [F.lit(0).alias("part"), F.lit(1).alias("parts")]
+        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), listed).select(*keys, *parts, "total", into)
+
+    if large.isEmpty():
+        return whole(df)
+    ranked = _ranks(join_groups(df, large.select(*keys), keys, "left_semi", null_safe=True), keys, order)
+    part: Column = F.floor(F.col("_rank") / max_items).cast("int")
+    cut = ranked.withColumn("part", part).groupBy(*keys, "part").agg(listed)
+    cut = join_groups(cut, large, keys, "inner", null_safe=True)
+    cut = cut.withColumn("parts", F.ceil(F.col("total") / max_items).cast("int")).select(*shown)
+    return whole(join_groups(df, large.select(*keys), keys, "left_anti", null_safe=True)).unionByName(cut)

@@ -62,17 +62,20 @@ def passing(profile: DataFrame, max_invalid: float = 0.5) -> DataFrame:
     return profile.where((F.col("posts") > 0) & (F.col("invalid") <= F.col("posts") * max_invalid))
 
 
-def lenient_gate(
-    posts: DataFrame, profile: DataFrame, batch: Sequence[str] = ("community",), spread_by: Sequence[str] = ("raw",)
-) -> DataFrame:
-    """Only the posts of passing batches; ``spread_by`` tells the posts of a batch apart."""
-    return join_groups(posts, passing(profile).select(*batch), batch, "left_semi", spread_by)
+def failing(profile: DataFrame, batch: Sequence[str] = ("community",), max_invalid: float = 0.5) -> DataFrame:
+    """The batches without posts or with too many broken ones."""
+    good = passing(profile, max_invalid).select(*batch)
+    return join_groups(profile, good, batch, "left_anti").select(*batch, "posts", "invalid")
+
+
+def lenient_gate(posts: DataFrame, profile: DataFrame, batch: Sequence[str] = ("community",)) -> DataFrame:
+    """Only the posts of passing batches."""
+    return join_groups(posts, passing(profile).select(*batch), batch, "left_semi")
 
 
 def strict_gate(posts: DataFrame, profile: DataFrame, batch: Sequence[str] = ("community",)) -> DataFrame:
     """The posts as they are, or an error naming some failing batches."""
-    failing = profile.join(passing(profile).select(*batch), list(batch), "left_anti")
-    examples = failing.orderBy(*batch).select(*batch, "posts", "invalid").head(5)
+    examples = failing(profile, batch).orderBy(*batch).head(5)
     if examples:
         raise QualityError(f"batches without posts or mostly invalid, first ones: {examples}")
     return posts

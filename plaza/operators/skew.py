@@ -8,29 +8,25 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WAYS = 32
-
 
 def join_groups(
-    rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str, spread_by: Sequence[str],
-    *, null_safe: bool = False, ways: int = WAYS,
+    rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str, *, null_safe: bool = False
 ) -> DataFrame:
-    """Join ``rows`` with ``groups``, which has one row per key.
+    """Join ``rows`` with ``groups``, which has one row per key; inner, left, left_semi or left_anti.
 
-    The rows of a key are spread over ``ways`` by a hash of ``spread_by`` and every group is
-    repeated for each of them, so a row still meets its group exactly once and a hot key is
-    shuffled to many tasks. A hash, unlike a random number, is the same when a lost task runs
-    again. Few groups are broadcast instead, which AQE decides from their real size.
+    In these joins AQE may split the partition of a hot key on the side of the rows and read the
+    group for each piece, by the bytes it has measured, so no key is salted beforehand. Few
+    groups are broadcast, which AQE decides from their real size as well.
     """
-    salted = rows.withColumn("_way", F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int"))
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"a hot key can't be split in a {how} join")
     names = {key: f"_group_{key}" for key in keys}
-    copies = groups.withColumnsRenamed(names).withColumn(
-        "_group_way", F.explode(F.array(*[F.lit(way) for way in range(ways)]))
-    )
+    # Groups that come straight from an aggregation by the key would bring its partitioning along,
+    # and a join that shares one is not split. Dealt anew, the few rows get a shuffle of their own.
+    renamed = groups.withColumnsRenamed(names).hint("rebalance")
 
     def same(left: str, right: str) -> Column:
         return F.col(left).eqNullSafe(F.col(right)) if null_safe else F.col(left) == F.col(right)
 
     condition = reduce(lambda a, b: a & b, [same(key, name) for key, name in names.items()])
-    joined = salted.join(copies, condition & (F.col("_way") == F.col("_group_way")), how)
-    return joined.drop("_way", "_group_way", *names.values())
+    return rows.join(renamed, condition, how).drop(*names.values())

@@ -26,13 +26,13 @@ def communities_with_news(current: DataFrame, seen: DataFrame) -> DataFrame:
 
 def worth_saving(current: DataFrame, seen: DataFrame) -> DataFrame:
     """All posts of the communities that have at least one unseen post."""
-    return join_groups(current, communities_with_news(current, seen), ["subreddit"], "left_semi", ["id"])
+    return join_groups(current, communities_with_news(current, seen), ["subreddit"], "left_semi")
 
 
 def next_seen(current: DataFrame, seen: DataFrame) -> DataFrame:
     """The ids to remember: replaced for communities with news, kept for the others."""
     fresh = worth_saving(current, seen).where(is_filled(F.col("id"))).select(*SEEN_KEY).distinct()
-    old = join_groups(seen, communities_with_news(current, seen), ["subreddit"], "left_anti", ["id"])
+    old = join_groups(seen, communities_with_news(current, seen), ["subreddit"], "left_anti")
     return fresh.unionByName(old.select(*SEEN_KEY))
 
 

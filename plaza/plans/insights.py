@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaza.functions.dates import day
 from plaza.functions.values import to_long
-from plaza.operators.merge import upsert
+from plaza.operators.merge import merge_table, upsert
 from plaza.operators.nesting import collect_in_parts
 from plaza.operators.skew import join_groups
 from plaza.operators.topk import top
@@ -88,6 +88,11 @@ def upsert_insights(insights: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert(insights, rows, INSIGHT_KEY, update=INSIGHT_VALUES)
 
 
+def store_insights(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Merge answers' rows into the stored insight table; only the run's date is read and rewritten."""
+    merge_table(spark, table, rows, INSIGHT_KEY, partition="execution_date", update=INSIGHT_VALUES)
+
+
 def latest_run(insights: DataFrame) -> DataFrame:
     """The rows of the latest execution date; a scalar subquery, so it prunes partitions."""
     newest = insights.agg(F.max("execution_date")).scalar()
@@ -96,8 +101,7 @@ def latest_run(insights: DataFrame) -> DataFrame:
 
 def latest_run_per_community(insights: DataFrame) -> DataFrame:
     newest = insights.groupBy("subreddit").agg(F.max("execution_date").alias("execution_date"))
-    return join_groups(insights, newest, ["subreddit", "execution_date"], "left_semi", ["insight_type", "item_name"])
-
+    return join_groups(insights, newest, ["subreddit", "execution_date"], "left_semi")
 
 
 def community_insights(insights: DataFrame, subreddit: str, per_community: bool = False) -> DataFrame:
@@ -162,7 +166,7 @@ def compare_weeks(
 
 
 def insights_by_community(insights: DataFrame, max_items: int = 1000) -> DataFrame:
-    """The latest insights nested per community; a very large one comes in several parts."""
+    """The latest insights nested per community; a very large one comes in parts that follow each other."""
     fields = ["insight_type", "item_name", "mentions", "context", "generated_at"]
     return collect_in_parts(
         latest_run(insights), ["subreddit"], fields, ["insight_type", "item_name"],
@@ -171,17 +175,25 @@ def insights_by_community(insights: DataFrame, max_items: int = 1000) -> DataFra
 
 
 def nested_insights(insights: DataFrame, max_items: int = 1000) -> DataFrame:
-    """Per community a map from kind to its items, as served to a page."""
-    fields = ["item_name", "mentions", "context"]
+    """Per community a map from kind to its items, as served to a page, and which part of how many it is.
+
+    Parts are cut in the order of kind and name, so a kind's items are sorted over the parts, too.
+    Items without a kind are under the key ``unknown``.
+    """
+    fields = ["insight_type", "item_name", "mentions", "context"]
+    named = latest_run(insights).withColumn("insight_type", F.coalesce("insight_type", F.lit("unknown")))
     lists = collect_in_parts(
-        latest_run(insights), ["subreddit", "insight_type"], fields, ["item_name"],
-        into="items", max_items=max_items,
-    )
-    # At most one entry per kind, so this list is bounded by the number of kinds.
-    return lists.groupBy("subreddit", "part").agg(
-        F.map_from_entries(F.collect_list(F.struct("insight_type", "items"))).alias("insights")
+        named, ["subreddit"], fields, ["insight_type", "item_name"], into="items", max_items=max_items
     )
 
+    def of(kind: Column) -> Column:
+        own = F.filter("items", lambda item: item["insight_type"] == kind)
+        shown = F.transform(own, lambda item: F.struct(*[item[name].alias(name) for name in fields[1:]]))
+        return F.struct(kind.alias("kind"), shown.alias("items"))
+
+    kinds = F.array_distinct(F.transform("items", lambda item: item["insight_type"]))
+    return lists.select("subreddit", "part", "parts", F.map_from_entries(F.transform(kinds, of)).alias("insights"))
+
 
 def insight_counts(insights: DataFrame) -> DataFrame:
     kinds = {"tools_count": "trending_tools", "pains_count": "pain_points", "solutions_count": "solutions"}

@@ -37,7 +37,9 @@ def snapshot_document(posts: DataFrame, weeks: DataFrame, commenters: DataFrame)
         ).alias("summary")
     )
 
+    cleaned = posts.agg(F.count(F.lit(1)).alias("n"))
     document = summary.select(
+        cleaned.scalar().alias("cleaned"),
         _listed(shown, by_score, POSTS).scalar().alias("silver_posts"),
         _listed(top_weeks(weeks, WEEKS), by_posts, WEEKS).scalar().alias("subreddit_week"),
         _listed(top_commenter_rows(commenters, COMMENTERS), by_count, COMMENTERS).scalar().alias("top_commenters"),
@@ -74,7 +76,7 @@ def snapshot_document(posts: DataFrame, weeks: DataFrame, commenters: DataFrame)
     )
     layers = F.array(
         layer("Bronze", total, F.struct(F.col("summary.unique_subreddits").alias("subreddits"))),
-        layer("Silver", F.size("silver_posts"), first),
+        layer("Silver", F.col("cleaned"), first),
         layer("Gold", total, leaders),
     )
     return document.select(layers.alias("layers"), "silver_posts", gold.alias("gold"))

@@ -131,21 +131,28 @@ def post_stats(posts: DataFrame, files: DataFrame, last_times: DataFrame) -> Dat
 
 def comment_stats(comments: DataFrame, files: DataFrame, last_times: DataFrame) -> DataFrame:
     """As ``post_stats``. All comments without a post count as one post, as in a set of ids."""
-    without_post = F.max(F.when(F.col("post_id").isNull(), 1).otherwise(0))
-    numbers = comments.groupBy(*PLACE).agg(
-        F.count(F.lit(1)).alias("total"),
-        (F.count_distinct("post_id") + without_post).alias("unique_posts_with_comments"),
-        F.count_distinct(F.nullif("author", F.lit(""))).alias("unique_authors"),
-        F.round(F.avg(_zero("score")), 1).alias("score_avg"),
-        F.max(_zero("score")).alias("score_max"),
-        F.round(F.avg(_zero("depth")), 1).alias("avg_depth"),
-        F.max(_zero("depth")).alias("max_depth"),
+    # Two distinct counts in one aggregation would repeat every comment; instead each is a count
+    # over pairs, and the numbers are summed up from those of the posts.
+    score, depth, one = _zero("score"), _zero("depth"), F.count(F.lit(1))
+    by_post = comments.groupBy(*PLACE, "post_id").agg(
+        one.alias("n"), F.sum(score).alias("score"), F.max(score).alias("top"),
+        F.sum(depth).alias("depth"), F.max(depth).alias("deepest"),
+    )
+    numbers = by_post.groupBy(*PLACE).agg(
+        F.sum("n").alias("total"),
+        one.alias("unique_posts_with_comments"),
+        F.round(F.sum("score") / F.sum("n"), 1).alias("score_avg"),
+        F.max("top").alias("score_max"),
+        F.round(F.sum("depth") / F.sum("n"), 1).alias("avg_depth"),
+        F.max("deepest").alias("max_depth"),
     )
+    named = comments.select(*PLACE, F.nullif("author", F.lit("")).alias("author")).distinct()
+    authors = named.groupBy(*PLACE).agg(F.count("author").alias("unique_authors"))
     shown = [clip(F.col("body"), 200).alias("body"), *[F.col(c) for c in ("score", "author", "post_id")],
              _zero("depth").alias("depth")]
     best = _top_five(comments, shown, "top_comments")
     counts = snapshot_counts(files).select(*PLACE, F.col("comment_snapshots").alias("snapshots"))
-    return _join_all(numbers, counts, best, last_times)
+    return _join_all(numbers, authors, counts, best, last_times)
 
 
 def community_catalog(posts: DataFrame, comments: DataFrame, files: DataFrame) -> DataFrame:
@@ -173,27 +180,42 @@ def all_posts(posts: DataFrame, limit: int = 500) -> DataFrame:
     return top(posts, sort_columns("score"), limit)
 
 
-def _layer(df: DataFrame, name: str, communities: Column, sample: Column, records: Column) -> DataFrame:
-    return df.agg(records.alias("records"), communities.alias("subreddits"), sample.alias("sample")).select(
-        F.lit(name).alias("layer"), "records", "subreddits", "sample"
-    )
-
-
-def _best(df: DataFrame, measure: str, ties: Sequence[str]) -> Column:
-    """The row that leads a list, as JSON, found by an aggregate instead of a sort."""
-    order = F.struct(F.coalesce(F.col(measure), F.lit(0)), *[F.col(tie) for tie in ties])
-    return F.to_json(F.max_by(F.struct(*df.columns), order))
+def _layer(df: DataFrame, name: str, records: Column, measure: str, ties: Sequence[str]) -> DataFrame:
+    """Counts by hash aggregation, and the leading row as JSON by a top-1, which carries one row per task."""
+    order = [_zero(measure).desc(), *[F.col(tie).desc() for tie in ties]]
+    leader = df.orderBy(*order).limit(1).select(F.to_json(F.struct(*df.columns)).alias("sample"))
+    groups = df.groupBy("subreddit").agg(records.alias("records"))
+    counted = groups.agg(F.coalesce(F.sum("records"), F.lit(0)).alias("records"), F.count("subreddit").alias("subreddits"))
+    return counted.select(F.lit(name).alias("layer"), "records", "subreddits", leader.scalar().alias("sample"))
 
 
 def layer_status(bronze: DataFrame, silver: DataFrame, weeks: DataFrame) -> DataFrame:
     """One row per layer: records, communities, and the leading record as a sample."""
     rows = F.count(F.lit(1))
-    names = F.count_distinct("subreddit")
     return (
-        _layer(bronze, "Bronze", names, _best(bronze, "score", ["id"]), rows)
-        .unionByName(_layer(silver, "Silver", names, _best(silver, "score", ["id"]), rows))
-        .unionByName(
-            _layer(weeks, "Gold", names, _best(weeks, "post_count", ["week_start", "subreddit"]),
-                   F.sum("post_count"))
-        )
+        _layer(bronze, "Bronze", rows, "score", ["id"])
+        .unionByName(_layer(silver, "Silver", rows, "score", ["id"]))
+        .unionByName(_layer(weeks, "Gold", F.sum("post_count"), "post_count", ["week_start", "subreddit"]))
+    )
+
+
+def status_with_fallback(
+    bronze: DataFrame, silver: DataFrame, weeks: DataFrame, fallback: DataFrame
+) -> DataFrame:
+    """The layers' status; empty Silver and Gold layers stand for what ``fallback`` cleans from Bronze.
+
+    ``mode`` is active for a stored layer, fallback for one that was computed, and empty if
+    neither has a row. ``fallback`` is the result of ``plans.fallback.fallback_silver``.
+    """
+    computed = fallback.agg(
+        F.count(F.lit(1)).alias("_records"), F.count_distinct("subreddit").alias("_subreddits"),
+    )
+    records, subreddits = computed.select("_records").scalar(), computed.select("_subreddits").scalar()
+    missing = (F.col("layer") != "Bronze") & (F.col("records") == 0)
+    status = layer_status(bronze, silver, weeks)
+    mode = F.when(missing & (records > 0), "fallback").when(F.col("records") > 0, "active").otherwise("empty")
+    return status.select(
+        "layer", mode.alias("mode"),
+        F.when(missing, records).otherwise(F.col("records")).alias("records"),
+        F.when(missing, subreddits).otherwise(F.col("subreddits")).alias("subreddits"), "sample",
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from plaza.functions.dates import iso_utc
 from plaza.functions.text import strip_kind
 from plaza.functions.values import to_double, to_long
+from plaza.session import stage
 
 # Field names of the API responses. Numbers are read as text and cast.
 LISTING = """
@@ -60,14 +62,14 @@ def comment_listing(response: Column) -> Column:
     return F.get_json_object(response, "$[1]")
 
 
-def _replies_of(listing: Column, path: Column, depth: int) -> Column:
+def _replies_of(listing: Column, path: Column, depth: Column) -> Column:
     """The comments directly below ``listing``, each with its path of positions."""
     children = F.from_json(listing, COMMENTS)["data"]["children"]
     nodes = F.transform(
         children,
         lambda child, at: F.struct(
             F.array_append(path, at).alias("path"),
-            F.lit(depth).alias("depth"),
+            depth.alias("depth"),
             child["kind"].alias("kind"),
             child["data"].alias("data"),
         ),
@@ -76,7 +78,7 @@ def _replies_of(listing: Column, path: Column, depth: int) -> Column:
     return F.coalesce(comments, F.array().cast(_NODES))
 
 
-def _next_level(depth: int) -> Callable[[Column], Column]:
+def _next_level(depth: Column) -> Callable[[Column], Column]:
     return lambda node: _replies_of(node["data"]["replies"], node["path"], depth)
 
 
@@ -87,25 +89,42 @@ _NODES = """
 """
 
 
+def _unrolled(trees: DataFrame, levels: int) -> DataFrame:
+    """Trees with all nodes of their first ``levels`` levels, and the nodes of the level below."""
+    step = trees.withColumn("_level0", _replies_of(F.col("_listing"), F.col("_path"), F.col("_depth")))
+    for level in range(1, levels + 1):
+        below = F.transform(f"_level{level - 1}", _next_level(F.col("_depth") + level))
+        step = step.withColumn(f"_level{level}", F.flatten(below))
+    every = F.concat(*[F.col(f"_level{level}") for level in range(levels)])
+    return step.select("post_id", every.alias("_nodes"), F.col(f"_level{levels}").alias("_below"))
+
+
 def flatten_comment_tree(
-    trees: DataFrame, listing: str = "listing", post_id: str = "post_id", max_depth: int = 10
+    trees: DataFrame, listing: str = "listing", post_id: str = "post_id", levels: int = 10
 ) -> DataFrame:
-    """One row per comment of a nested tree, with depth and pre-order ``path``.
+    """One row per comment of a nested tree, with depth and pre-order ``path``, at any depth.
 
-    Each level of a document is unrolled from the level above inside one projection, so the
-    input is scanned once and nothing is shuffled. A tree that goes deeper than ``max_depth``
-    levels raises an error instead of losing its lower part.
+    ``levels`` levels of a document are unrolled inside one projection, without a shuffle. Only
+    comments with replies below them go into a further round, until there are none; the usual
+    tree ends in the first.
     """
-    root = F.array().cast("array<int>")
-    levels = trees.withColumn("_level0", _replies_of(F.col(listing), root, 0))
-    for depth in range(1, max_depth + 1):
-        below = F.transform(f"_level{depth - 1}", _next_level(depth))
-        levels = levels.withColumn(f"_level{depth}", F.flatten(below))
-    too_deep = F.raise_error(F.lit(f"comment tree deeper than {max_depth} levels"))
-    every = F.concat(*[F.col(f"_level{depth}") for depth in range(max_depth)])
-    nodes = F.when(F.size(f"_level{max_depth}") == 0, every).otherwise(too_deep.cast(_NODES))
-    rows = levels.select(F.col(post_id).alias("post_id"), F.explode_outer(nodes).alias("node"))
-    rows = rows.where(F.col("node").isNotNull())
+    start = trees.select(
+        F.col(post_id).alias("post_id"), F.col(listing).alias("_listing"),
+        F.array().cast("array<int>").alias("_path"), F.lit(0).alias("_depth"),
+    )
+    rounds = []
+    while True:
+        step = stage(_unrolled(start, levels), "tree-levels")
+        rounds.append(step.select("post_id", F.explode("_nodes").alias("node")))
+        deeper = step.select("post_id", F.explode("_below").alias("node"))
+        if deeper.isEmpty():
+            break
+        rounds.append(deeper)
+        start = deeper.where(F.coalesce(F.col("node.data.replies"), F.lit("")) != "").select(
+            "post_id", F.col("node.data.replies").alias("_listing"), F.col("node.path").alias("_path"),
+            (F.col("node.depth") + 1).alias("_depth"),
+        )
+    rows = reduce(DataFrame.union, rounds)
     data = F.col("node.data")
     created = F.coalesce(to_double(data["created_utc"]), F.lit(0.0))
     return rows.select(

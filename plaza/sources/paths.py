@@ -12,6 +12,8 @@ LAYOUT = r"(?:^|/)reddit/(?:[^/=]+=)?([^/]+)/date=(\d{4}-\d{2}-\d{2})/(.+)$"
 VALID_KEY = r"^reddit/[^/]+/date=\d{4}-\d{2}-\d{2}/.+\.json$"
 POST_FILES = "raw_*.json"
 COMMENT_FILES = "comments_*.json"
+# A time stamp in a file's name; an extraction of many items is several files that share it.
+EXTRACTION = r"^(?:raw|comments)_\d{4}-\d{2}-\d{2}T\d{2}_\d{2}_\d{2}"
 DAILY_FILES = "raw[.-]*json"
 
 
@@ -73,19 +75,31 @@ def list_files(spark: SparkSession, glob: str) -> DataFrame:
     return with_path_columns(files, F.col("path"))
 
 
+def extraction(path: Column) -> Column:
+    """What the files of one extraction share: kind and time stamp, or else the file's own name."""
+    stamp = F.regexp_extract(base_name(path), EXTRACTION, 0)
+    return F.when(stamp != "", stamp).otherwise(base_name(path))
+
+
 def snapshot_counts(files: DataFrame) -> DataFrame:
-    """Files per community and day, unreadable ones included."""
-    name = F.col("path")
-    return files.groupBy("community", "ingest_date").agg(
-        F.count_if(is_post_snapshot(name)).alias("snapshots"),
-        F.count_if(is_comment_snapshot(name)).alias("comment_snapshots"),
+    """Extractions per community and day, unreadable ones included; the files of a large one count once."""
+    path = F.col("path")
+    taken = files.select(
+        "community", "ingest_date", is_post_snapshot(path).alias("posts"),
+        is_comment_snapshot(path).alias("comments"), extraction(path).alias("extraction"),
+    ).distinct()
+    return taken.groupBy("community", "ingest_date").agg(
+        F.count_if("posts").alias("snapshots"), F.count_if("comments").alias("comment_snapshots")
     )
 
 
 def latest_file_per_community(files: DataFrame) -> DataFrame:
-    """The post snapshot with the greatest path, per community."""
-    return (
-        files.where(is_post_snapshot(F.col("path")))
-        .groupBy("community")
-        .agg(F.max("path").alias("path"))
+    """The files of the extraction with the greatest path, per community: one, or its parts."""
+    post_files = files.where(is_post_snapshot(F.col("path"))).withColumn("_taken", extraction(F.col("path")))
+    last = post_files.groupBy("community").agg(F.max("path").alias("_last"))
+    last = last.select(
+        "community", F.regexp_replace("_last", "/[^/]+$", "").alias("_folder"), extraction(F.col("_last")).alias("_taken")
     )
+    folder = F.regexp_replace("path", "/[^/]+$", "")
+    found = post_files.withColumn("_folder", folder).join(last, ["community", "_folder", "_taken"], "left_semi")
+    return found.select("community", "path")

@@ -23,7 +23,9 @@ def _envelopes(items: DataFrame, payload: str, order: Sequence[str], date: str,
         F.lit(date).alias("date"),
         "subreddit",
         F.lit(date).alias("execution_date"),
-        F.size(payload).alias("count"),
+        F.col("total").alias("count"),
+        "part",
+        "parts",
         payload,
     )
 
@@ -41,13 +43,15 @@ def write_snapshots(
 ) -> None:
     """Append the snapshot of one run: ``reddit/community=…/date=…/raw_<time>-….json``.
 
-    A file holds one envelope of about ``max_items`` items; a community with more gets more
-    files, written by different tasks. ``items`` must be distinct by id within a community.
+    A file holds one envelope of at most ``max_items`` items; a community with more gets more
+    files, written by different tasks. They share the time in their names and say which ``part``
+    of how many ``parts`` they are; ``count`` is the number of items of the whole extraction, and
+    only the first part has the ``stats``. ``items`` must be distinct by id within a community.
     """
     envelopes = _envelopes(items, payload, order, date, max_items)
     envelopes = envelopes.withColumn("snapshot_at", F.lit(snapshot_at.isoformat()))
     if stats is not None:
-        envelopes = envelopes.withColumn("stats", stats)
+        envelopes = envelopes.withColumn("stats", F.when(F.col("part") == 0, stats))
     _write(envelopes, root, "append", f"{_PREFIX[payload]}_{snapshot_at:%Y-%m-%dT%H_%M_%S}")
 
 

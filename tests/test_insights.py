@@ -97,15 +97,30 @@ def test_nested_lists_split_but_keep_every_item(spark):
     known = table(spark, *[("big", "solutions", f"i{n:03}", n, DAY) for n in range(60)], ("small", "pain_points", "x", 1, DAY))
     nested = insights.insights_by_community(known, max_items=10).collect()
     big = [row for row in nested if row["subreddit"] == "big"]
-    assert len(big) == 6 and max(len(row["insights"]) for row in big) < 30
-    assert sorted(item["item_name"] for row in big for item in row["insights"]) == [f"i{n:03}" for n in range(60)]
-    for row in big:
-        names = [item["item_name"] for item in row["insights"]]
-        assert names == sorted(names)
+    assert [len(row["insights"]) for row in big] == [10] * 6
+    in_order = [item["item_name"] for row in sorted(big, key=lambda row: row["part"]) for item in row["insights"]]
+    assert in_order == [f"i{n:03}" for n in range(60)]
+    assert {(row["subreddit"], row["parts"], row["total"]) for row in nested} == {("big", 6, 60), ("small", 1, 1)}
     whole = insights.nested_insights(known).where("subreddit = 'big'").first()["insights"]
     assert len(whole["solutions"]) == 60
 
 
+def test_kinds_may_span_parts_or_be_missing(spark):
+    known = table(spark, *[("a", kind, f"{kind}{n}", n, DAY) for kind in ("pain_points", "solutions") for n in range(5)],
+                  ("a", None, "loose", 1, DAY))
+    for at_most, parts in ((1000, 1), (4, 3)):
+        got = sorted(insights.nested_insights(known, at_most).collect(), key=lambda row: row["part"])
+        assert [(row["part"], row["parts"]) for row in got] == [(part, parts) for part in range(parts)]
+        kinds = {}
+        for row in got:
+            for kind, items in row["insights"].items():
+                kinds.setdefault(kind, []).extend(item["item_name"] for item in items)
+        assert kinds == {
+            "pain_points": [f"pain_points{n}" for n in range(5)], "solutions": [f"solutions{n}" for n in range(5)],
+            "unknown": ["loose"],
+        }
+
+
 def test_parts_keep_the_group_without_a_key(spark):
     data = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
     got = collect_in_parts(data, ["k"], ["v"], ["v"], into="vs")
@@ -128,7 +143,7 @@ def test_published_document(spark, with_insights):
     )
     document = spark.read.json(f"{out}/document").first()
     assert [layer["name"] for layer in document["layers"]] == ["Bronze", "Silver", "Gold"]
-    assert [layer["records"] for layer in document["layers"]] == [60, 50, 60]
+    assert [layer["records"] for layer in document["layers"]] == [60, 60, 60]
     assert len(document["silver_posts"]) == 50 and document["silver_posts"][0]["id"] == "59"
     assert document["gold"]["subreddit_rankings"][0]["posts"] == 60
     assert document["gold"]["summary"]["total_unique_commenters"] == 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -50,7 +52,7 @@ def test_hot_key_without_a_value_never_matches(spark, skewed):
 def test_hot_list_is_split(spark, skewed):
     nested = collect_in_parts(skewed, ["k"], ["v"], ["v"], into="vs", max_items=500)
     sizes = nested.select("k", F.size("vs").alias("n"))
-    assert sizes.agg(F.max("n")).first()[0] < 800
+    assert sizes.agg(F.max("n")).first()[0] == 500
     assert sizes.agg(F.sum("n")).first()[0] == N
     assert sizes.where("k = 'hot'").count() == N // 3 // 500
     assert nested.select(F.explode("vs.v").alias("v")).distinct().count() == N
@@ -64,23 +66,35 @@ def test_best_rows_of_a_hot_group(spark, skewed):
 def test_rows_meet_their_group_once_in_every_kind_of_join(spark, skewed):
     groups = spark.createDataFrame([("hot", 1), ("k1", 2), ("absent", 3)], "k string, g int")
     found = {
-        how: skew.join_groups(skewed, groups, ["k"], how, ["v"]).count()
+        how: skew.join_groups(skewed, groups, ["k"], how).count()
         for how in ("inner", "left", "left_semi", "left_anti")
     }
     plain = {how: skewed.join(groups, "k", how).count() for how in found}
     assert found == plain and plain["inner"] > N // 3
 
 
-def test_a_hot_group_is_spread_over_tasks(spark, skewed):
+def test_a_hot_group_is_split_by_what_was_measured(spark, skewed):
+    """Without a broadcast, AQE splits the hot key's partition; no row is repeated for it."""
     groups = skewed.groupBy("k").agg(F.count("*").alias("n"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        joined = skew.join_groups(skewed, groups, ["k"], "inner", ["v"])
-        per_task = joined.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0]
+        joined = skew.join_groups(skewed, groups, ["k"], "inner")
+        assert "Generate" not in joined._jdf.queryExecution().executedPlan().toString()
+        dealt = joined.withColumn("task", F.spark_partition_id()).collect()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", "2")
-    assert per_task < N // 4  # the hot key alone has a third
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    tasks = Counter(row["task"] for row in dealt if row["k"] == "hot")
+    assert len(tasks) > 1 and tasks.total() == N // 3 and max(tasks.values()) < N // 4
+
+
+def test_a_join_that_cannot_be_split_is_refused(skewed):
+    with pytest.raises(ValueError):
+        skew.join_groups(skewed, skewed, ["k"], "full")

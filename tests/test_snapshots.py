@@ -158,9 +158,13 @@ def test_sink_splits_a_large_community_and_loses_nothing(spark, tmp_path):
     files = paths.list_files(spark, paths.snapshot_glob(str(tmp_path)))
     counted = {row["community"]: row["n"] for row in files.groupBy("community").agg(F.count("*").alias("n")).collect()}
     assert counted["big"] == 5 and counted["small"] == 1
+    assert rows(paths.snapshot_counts(files), "community", "snapshots") == [("big", 1), ("small", 1)]
+    assert paths.latest_file_per_community(files).where("community = 'big'").count() == 5
+    heads = spark.read.json(paths.snapshot_glob(str(tmp_path)))
+    assert rows(heads.where("subreddit = 'big'"), "part", "parts", "count") == [(part, 5, 95) for part in range(5)]
     got = read(spark, tmp_path)
     assert rows(got, "id", "score") == rows(posts, "id", "score")
-    assert got.groupBy("file_name").count().agg(F.max("count")).first()[0] < 45
+    assert got.groupBy("file_name").count().agg(F.max("count")).first()[0] == 20
     # A later run adds files and replaces none.
     sinks.write_snapshots(
         posts.where("id = 'p1'"), str(tmp_path), date=DAY, snapshot_at=at.replace(hour=11), order=["place"]
