@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaza.functions.dates import iso_utc
+from plaza.functions.text import TOOL_ALIASES
 from plaza.operators.dedupe import dedupe_ranked
 from plaza.session import new_folder
 from plaza.sources.paths import with_path_columns
@@ -236,6 +237,31 @@ def documents_as_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents_with_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as posts whose whole text is followed by one to three aliases of tools, in any case.
+
+    Which ones follows from the id; a third has no alias, and some have one inside a longer word.
+    """
+    names = F.array(*[F.lit(alias) for alias in TOOL_ALIASES])
+    number = F.col("doc_id").cast("int")
+
+    def alias(step: int) -> Column:
+        return F.get(names, F.pmod(number * step, F.size(names)))
+
+    said = (
+        F.when(number % 3 == 0, text(" Nothing", alias(1), "ish here"))
+        .when(number % 3 == 1, text(" Tried ", F.upper(alias(1)), ", then ", alias(3), "!"))
+        .otherwise(text(" (", alias(1), ") or ", F.initcap(alias(5)), "; ", alias(1), "."))
+    )
+    posts = table(spark, sf_dir, "documents").withColumn("text", F.concat("text", said))
+    return posts.select(
+        key("doc_id").alias("id"), F.col("lang").alias("subreddit"), F.col("source").alias("title"),
+        F.col("text").alias("selftext"), text("a", F.col("source")).alias("author"), F.col("n_chars").alias("score"),
+        F.lit(None).cast("bigint").alias("num_comments"), F.lit(None).cast("string").alias("created_date"),
+        F.lit(None).cast("string").alias("flair"),
+    )
+
+
 def lines_as_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document as a comment."""
     lines = table(spark, sf_dir, "documents").select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from checks.bindings import KINDS, RUNS, WORDS
 from checks.queries import AS_OF, LATER, SPLIT
-from plaza.functions.text import TOOL_ALIASES
+from plaza.functions.text import PROMPT, TOOL_ALIASES
 
 ORACLES: dict[str, str] = {}
 
@@ -399,6 +399,15 @@ SELECT subreddit, insight_type, item_name, coalesce(n.mentions, o.mentions) AS m
   CASE WHEN n.event_id IS NULL THEN 'm1' ELSE 'm2' END AS model_version
 FROM old o FULL OUTER JOIN new n USING (subreddit, insight_type, item_name, execution_date)"""
 
+ORACLES["stored_insights"] = _with(INSIGHT_EVENTS) + f"""
+, placed AS (
+  SELECT *, row_number() OVER (PARTITION BY subreddit, insight_type, item_name, execution_date ORDER BY event_id) AS nth,
+    row_number() OVER (PARTITION BY subreddit, insight_type, item_name, execution_date ORDER BY event_id DESC) AS back
+  FROM insight_events)
+SELECT subreddit, insight_type, item_name, mentions, strftime(generated_at, {STAMP}) AS generated_at,
+  CAST(execution_date AS VARCHAR) AS execution_date, CASE WHEN execution_date < '{SPLIT}' THEN 'm1' ELSE 'm2' END AS model_version
+FROM placed WHERE CASE WHEN execution_date < '{SPLIT}' THEN nth ELSE back END = 1"""
+
 ORACLES["merge_into_partitioned_table"] = _with(HALVES) + """
 SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.event_id, b.event_id) AS event_id,
   coalesce(a.score, b.score) AS score, coalesce(a.day, b.day) AS day, coalesce(b.day, a.day) AS stored_day
@@ -482,6 +491,13 @@ FROM checked GROUP BY community, ingest_date"""
 ORACLES["quality_communities_found"] = _with(SNAPSHOT_POSTS, _QUALITY) + """
 SELECT DISTINCT community, subreddit FROM checked"""
 
+ORACLES["quality_strict_gate_failures"] = _with(SNAPSHOT_POSTS, _QUALITY) + """
+SELECT community, ingest_date, count(*) AS posts, count(*) FILTER (invalid) AS invalid FROM checked
+GROUP BY community, ingest_date HAVING count(*) FILTER (invalid) > count(*) * 0.5"""
+
+ORACLES["quality_strict_gate_passed"] = _with(SNAPSHOT_POSTS, _QUALITY) + """
+SELECT community, ingest_date, count(*) AS posts FROM checked WHERE NOT invalid GROUP BY ALL"""
+
 ORACLES["quality_lenient_gate"] = _with(SNAPSHOT_POSTS, _QUALITY) + """
 SELECT community, count(*) AS posts, count(*) FILTER (invalid) AS invalid FROM checked
 GROUP BY community HAVING count(*) FILTER (invalid) <= count(*) * 0.5"""
@@ -516,6 +532,19 @@ ORACLES["tool_mentions_in_documents"] = _with(_tools(TOOL_ALIASES)) + """
 SELECT CAST(d.doc_id AS VARCHAR) AS id, coalesce(tools, '') AS tools, coalesce(n, 0) AS tools_count
 FROM documents d LEFT JOIN listed USING (doc_id)"""
 
+_ALIASED = f"""
+said AS (
+  SELECT doc_id, source, text || CASE doc_id % 3
+    WHEN 0 THEN ' Nothing' || a[doc_id % {len(TOOL_ALIASES)} + 1] || 'ish here'
+    WHEN 1 THEN ' Tried ' || upper(a[doc_id % {len(TOOL_ALIASES)} + 1]) || ', then ' || a[doc_id * 3 % {len(TOOL_ALIASES)} + 1] || '!'
+    ELSE ' (' || a[doc_id % {len(TOOL_ALIASES)} + 1] || ') or ' || a[doc_id * 5 % {len(TOOL_ALIASES)} + 1] || '; '
+      || a[doc_id % {len(TOOL_ALIASES)} + 1] || '.' END AS text
+  FROM documents, (SELECT [{', '.join(f"'{alias}'" for alias in TOOL_ALIASES)}] AS a))
+"""
+ORACLES["tool_aliases_in_documents"] = _with(_ALIASED, _tools(TOOL_ALIASES).replace("FROM documents", "FROM said")) + """
+SELECT CAST(d.doc_id AS VARCHAR) AS id, coalesce(tools, '') AS tools, coalesce(n, 0) AS tools_count
+FROM documents d LEFT JOIN listed USING (doc_id)"""
+
 ORACLES["tool_rankings"] = _with(_tools(WORDS)) + """
 SELECT tool, count(*) AS mentions, CAST(sum(n_chars) AS BIGINT) AS total_score,
   round(avg(n_chars), 1) AS avg_score
@@ -591,6 +620,12 @@ SELECT * FROM contexts WHERE length(content) >= 100"""
 
 ORACLES["community_context_large"] = _with(_context(80, 120, 12000, 280, 200)) + "SELECT * FROM contexts"
 
+ORACLES["community_default_prompts"] = _with(_context(15, 20, 6000, 150, 120)) + f"""
+SELECT subreddit, content, CAST({len(PROMPT.replace('{subreddit}', '').replace('{content}', ''))}
+    + {PROMPT.count('{subreddit}')} * length(subreddit) AS BIGINT) AS template_length,
+  true AS holds_content, false AS unfilled
+FROM contexts"""
+
 ORACLES["community_prompts"] = _with(_context(15, 20, 6000, 150, 120)) + """
 SELECT subreddit, 'r/' || subreddit || ' {x}' || chr(10) || content AS prompt FROM contexts"""
 
@@ -819,6 +854,21 @@ ORACLES["published_rankings"] = _with(*POSTS, POST_WEEKS) + """
 SELECT subreddit, post_count AS posts, sum_score AS total_score, round(avg_score, 1) AS avg_score
 FROM post_weeks ORDER BY post_count DESC, week, subreddit LIMIT 30"""
 
+ORACLES["published_insights"] = _with(*ALL_INSIGHTS, LATEST_RUN) + """
+, kinds AS (
+  SELECT subreddit, insight_type, string_agg(item_name || ':' || mentions, '|' ORDER BY item_name) AS items
+  FROM latest_run GROUP BY ALL)
+SELECT subreddit, max(items) FILTER (insight_type = 'trending_tools') AS trending_tools,
+  max(items) FILTER (insight_type = 'pain_points') AS pain_points,
+  max(items) FILTER (insight_type = 'solutions') AS solutions
+FROM kinds GROUP BY subreddit"""
+
+ORACLES["status_with_fallback"] = _with(BRONZE_POSTS) + """
+, known AS (SELECT * FROM bronze_posts WHERE title IS NOT NULL AND author NOT IN ('[deleted]', '[removed]'))
+SELECT 'Bronze' AS layer, 'active' AS mode, count(*) AS records, count(DISTINCT subreddit) AS subreddits FROM bronze_posts
+UNION ALL SELECT 'Silver', 'fallback', count(*), count(DISTINCT subreddit) FROM known
+UNION ALL SELECT 'Gold', 'fallback', count(*), count(DISTINCT subreddit) FROM known"""
+
 ORACLES["published_layers"] = _with(*POSTS) + """
 SELECT 'Bronze' AS name, 'active' AS status, count(*) AS records FROM silver_posts
 UNION ALL SELECT 'Silver', 'active', count(*) FROM silver_posts
@@ -836,6 +886,9 @@ said AS (
   FROM snapshot_comments WHERE author <> '[deleted]')
 """
 
+ORACLES["medallion_of_one_batch"] = _with(*SNAPSHOTS) + """
+SELECT ingest_date AS _ingest_date, count(DISTINCT id) AS posts FROM latest GROUP BY ALL"""
+
 ORACLES["streamed_silver_posts"] = _with(SNAPSHOT_POSTS, SNAPSHOT_COMMENTS, WRITTEN, _STREAMED) + """
 SELECT id, subreddit, title, author, score, num_comments, created_utc, ingest_date FROM streamed"""
 

@@ -13,7 +13,7 @@ from plaza import configure, schemas
 from plaza.functions import dates, text, values
 from plaza.operators import dedupe, merge, quality, state, topk
 from plaza.plans import context, fallback, gold, insights, publish, serve, silver
-from plaza.plans.medallion import Tables
+from plaza.plans.medallion import Tables, run_medallion
 from plaza.session import new_folder, stage
 from plaza.sources import listings, paths, sinks, snapshots, tables
 from plaza.streaming import ingest
@@ -405,6 +405,24 @@ def merge_insights(spark, sf_dir):
     )
 
 
+@query
+def stored_insights(spark, sf_dir):
+    """The insight rows of each half of the days merged into the stored table, the second twice."""
+    rows = b.insight_events(spark, sf_dir)
+    name = "stored_" + new_folder(spark, "t").rsplit("-", 1)[1]
+    tables.create_table(spark, name, schemas.INSIGHTS, location=new_folder(spark, "stored"), partition="execution_date")
+    one = dedupe.dedupe_ranked(rows, insights.INSIGHT_KEY, [F.col("event_id").asc()]).drop("event_id")
+    last = dedupe.dedupe_ranked(rows, insights.INSIGHT_KEY, [F.col("event_id").desc()]).drop("event_id")
+    late = last.where(F.col("execution_date") >= SPLIT).withColumn("model_version", F.lit("m2"))
+    for batch in (one, late, late):
+        insights.store_insights(spark, name, batch)
+    found = tables.open_table(spark, name)
+    return found.select(
+        "subreddit", "insight_type", "item_name", "mentions", "model_version",
+        as_text("generated_at").alias("generated_at"), F.col("execution_date").cast("string").alias("execution_date"),
+    )
+
+
 @query
 def merge_into_partitioned_table(spark, sf_dir):
     """A guarded merge into a stored table that rewrites only the touched partitions."""
@@ -519,6 +537,21 @@ def quality_communities_found(spark, sf_dir):
     return quality.communities_found(_checked(spark, sf_dir))
 
 
+@query
+def quality_strict_gate_failures(spark, sf_dir):
+    """The batches that the strict gate names when it stops."""
+    checked = _checked(spark, sf_dir, not_null=True)
+    return quality.failing(quality.quality_profile(checked, PLACE), PLACE)
+
+
+@query
+def quality_strict_gate_passed(spark, sf_dir):
+    """The strict gate lets a run through in which no community fails."""
+    checked = _checked(spark, sf_dir, not_null=True).where(~F.col("invalid"))
+    kept = quality.strict_gate(checked, quality.quality_profile(checked))
+    return kept.groupBy(*PLACE).agg(F.count(F.lit(1)).alias("posts"))
+
+
 @query
 def quality_lenient_gate(spark, sf_dir):
     checked = _checked(spark, sf_dir, not_null=True)
@@ -545,6 +578,13 @@ def tool_mentions_in_documents(spark, sf_dir):
     return rows.select("id", F.array_join("tools_mentioned", "|").alias("tools"), "tools_count")
 
 
+@query
+def tool_aliases_in_documents(spark, sf_dir):
+    """The given tool names, found in texts that hold them."""
+    rows = fallback.fallback_silver(b.documents_with_tools(spark, sf_dir))
+    return rows.select("id", F.array_join("tools_mentioned", "|").alias("tools"), "tools_count")
+
+
 @query
 def tool_rankings(spark, sf_dir):
     return fallback.tool_rankings(documents_silver(spark, sf_dir))
@@ -630,6 +670,17 @@ def community_prompts(spark, sf_dir):
     return context.render_prompts(built, "r/{subreddit} {x}\n{content}").drop("content")
 
 
+@query
+def community_default_prompts(spark, sf_dir):
+    """The default template around each context: what stands before, between and after its two parts."""
+    built = context.build_context(b.documents_as_posts(spark, sf_dir), b.lines_as_comments(spark, sf_dir))
+    rows = context.render_prompts(built)
+    return rows.select(
+        "subreddit", "content", (F.length("prompt") - F.length("content")).cast("bigint").alias("template_length"),
+        F.contains("prompt", "content").alias("holds_content"), F.col("prompt").contains("{content}").alias("unfilled"),
+    )
+
+
 # --- insights ---
 
 
@@ -859,6 +910,18 @@ def layer_status(spark, sf_dir):
     )
 
 
+@query
+def status_with_fallback(spark, sf_dir):
+    """Silver and Gold still empty: their status comes from what Bronze gives."""
+    bronze = b.bronze_posts(spark, sf_dir)
+    none = F.lit(False)
+    rows = serve.status_with_fallback(
+        bronze, silver_posts_frame(spark, sf_dir).where(none), weeks_frame(spark, sf_dir).where(none),
+        fallback.fallback_silver(bronze),
+    )
+    return rows.select("layer", "mode", "records", "subreddits")
+
+
 @query
 def published_posts(spark, sf_dir):
     """The snapshot document written, read back, and its posts listed."""
@@ -873,6 +936,23 @@ def published_posts(spark, sf_dir):
     return rows.select("id", "score", "tools_count", "total_posts")
 
 
+@query
+def published_insights(spark, sf_dir):
+    """The insights beside the document, read back."""
+    out = new_folder(spark, "published")
+    comments = silver_comments_frame(spark, sf_dir)
+    publish.publish_snapshot(
+        silver_posts_frame(spark, sf_dir), weeks_frame(spark, sf_dir), gold.top_commenters(comments),
+        b.insights(spark, sf_dir), out,
+    )
+    rows = spark.read.schema(
+        "subreddit STRING, part INT, parts INT, insights MAP<STRING, ARRAY<STRUCT<item_name: STRING, mentions: INT, context: STRING>>>"
+    ).json(f"{out}/insights")
+    return rows.select(
+        "subreddit", *[flat(F.col("insights")[kind], "item_name", "mentions").alias(kind) for kind in insights.NAME_FIELD]
+    )
+
+
 @query
 def published_rankings(spark, sf_dir):
     comments = silver_comments_frame(spark, sf_dir)
@@ -899,6 +979,20 @@ def _new_tables(spark: SparkSession, label: str) -> Tables:
     return Tables(spark, base, prefix="t" + base.rsplit("-", 1)[1] + "_", buckets=4).create()
 
 
+@query
+def medallion_of_one_batch(spark, sf_dir):
+    """Gold from the batch alone: two runs, each loaded twice."""
+    made = _new_tables(spark, "batch")
+    posts = b.snapshot_posts(spark, sf_dir)
+    for date in b.RUNS[:2]:
+        rows = dedupe.dedupe_latest_snapshot(posts.where(F.col("ingest_date") == date))
+        for _ in range(2):
+            run_medallion(made, rows, ingest_date=date, scope="batch")
+    last = dedupe.dedupe_latest_snapshot(posts.where(F.col("ingest_date") == b.RUNS[2]))
+    run_medallion(made, last, ingest_date=b.RUNS[2], scope="batch")
+    return made.open("bronze_posts").groupBy("_ingest_date").agg(F.count(F.lit(1)).alias("posts"))
+
+
 def _streamed(spark, sf_dir) -> Tables:
     """The snapshot files fed through the medallion by a stream, some files per batch."""
     root = b.snapshot_root(spark, sf_dir)
