@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,13 +46,32 @@ def shared_dir(spark: SparkSession) -> str:
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     folder = tempfile.mkdtemp(prefix="plaza-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+_held = threading.local()
+
+
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """Delete the folders that are staged inside the block when it ends, also after an error.
+
+    For steps that have written their result by then; a frame that is handed on must not need them.
+    """
+    outer, _held.paths = getattr(_held, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _held.paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _held.paths = outer
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -63,5 +85,7 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
+    if getattr(_held, "paths", None) is not None:
+        _held.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

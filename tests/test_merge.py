@@ -1,14 +1,15 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from plaza.operators import merge
-from plaza.session import new_folder, stage
+from plaza.session import freeing, new_folder, shared_dir, stage
 from plaza.sources import tables
 
 DDL = "k string, v bigint, d string"
@@ -186,3 +187,45 @@ def test_other_file_formats(spark):
     for v in (1, 2):
         merge.merge_table(spark, name, with_p(spark, [("a", v, "1", "p1"), (f"b{v}", v, "1", "p2")]), ["k"], partition="p")
     assert rows(tables.open_table(spark, name), "k", "v") == [("a", 2), ("b1", 1), ("b2", 2)]
+
+
+def test_staged_folders_are_freed(spark):
+    name = "freed_" + new_folder(spark, "t").rsplit("-", 1)[1]
+    tables.create_table(spark, name, "k INT, v INT, p INT", location=new_folder(spark, "freed"), partition="p")
+
+    def left():
+        return {path.name for path in Path(shared_dir(spark)).iterdir() if path.name.split("-")[0] in ("merge", "append", "replace", "s")}
+
+    before = left()
+    for value in (1, 2):
+        merge.merge_table(spark, name, spark.createDataFrame([(1, value, 0)], "k int, v int, p int"), ["k"], partition="p")
+        merge.append_new(spark, name, spark.createDataFrame([(9, value, 0)], "k int, v int, p int"), ["k", "p"], "p")
+    assert left() == before and sorted(map(tuple, spark.table(name).collect())) == [(1, 2, 0), (9, 1, 0)]
+    with pytest.raises(RuntimeError), freeing(spark):
+        stage(spark.range(3), "s")
+        raise RuntimeError
+    assert left() == before
+
+
+def test_rows_without_a_key_are_appended_once(spark):
+    name = "loose_" + new_folder(spark, "t").rsplit("-", 1)[1]
+    tables.create_table(spark, name, "id STRING, v INT, _loaded_at INT, p INT", location=new_folder(spark, "loose"), partition="p", comment="it's one")
+    batch = [("a", 1, 0, 0), (None, 1, 0, 0), (None, 2, 0, 0), (None, None, 0, 0)]
+    for run in range(3):
+        rows_ = [(key, v, run, p) for key, v, _, p in batch]
+        merge.append_new(spark, name, spark.createDataFrame(rows_, "id string, v int, _loaded_at int, p int"), ["id", "p"], "p")
+    assert sorted((tuple(row) for row in spark.table(name).collect()), key=str) == sorted(batch, key=str)
+
+
+def test_one_wide_and_one_key_scan_of_the_target(spark):
+    path = new_folder(spark, "wide")
+    spark.range(2000).select(F.col("id").alias("k"), F.lit(1).alias("v"), F.lit("x").alias("w")).write.parquet(path)
+    spark.range(1500, 2500).select(F.col("id").alias("k"), F.lit(2).alias("v"), F.lit("y").alias("w")).write.parquet(path + "-s")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(merge.upsert(spark.read.parquet(path), spark.read.parquet(path + "-s"), ["k"])).split("== Physical Plan ==")[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    # The target once whole and once for its keys; the source twice whole and once for its keys.
+    assert len(scans) == 5 and sum("w#" in line for line in scans) == 3
