@@ -14,6 +14,7 @@ from plaza.session import new_folder
 
 # Rows per Arrow batch: a batch of documents stays small although some are very long.
 BATCH_ROWS = "512"
+ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     """Bound the memory of Python tasks that read whole texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set(ROWS, BATCH_ROWS)
 
 
 def pieces(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plaza.llm.common import Scratch, pieces, small_batches
+from plaza.llm.common import ROWS, Scratch, pieces, small_batches
 from plaza.llm.components import connected_components
 
 SHINGLE = 5
@@ -32,7 +32,7 @@ FULL = 255  # a count of so many or more
 LEAF = 32  # points in a leaf of the tree
 BLOCK = 1024  # points of one shingle and size that meet in one task
 BATCH_BYTES = 4 << 20
-SEGMENT = 1 << 22
+SEGMENT = 1 << 20  # bytes that are hashed at once; cut at a space
 
 _R = 0x9E3779B97F4A7C15  # odd, so that powers have an inverse modulo 2**64
 _WRAP = np.errstate(over="ignore")
@@ -49,7 +49,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return byte, space, rng.integers(0, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         up = np.multiply.accumulate(np.full(n, _R, np.uint64))
@@ -71,7 +71,7 @@ def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return np.zeros(0, np.uint64), starts
-    up, down = _powers(1 << max(16, int(len(data)).bit_length()))
+    up, down = _powers(1 << max(SEGMENT.bit_length(), int(len(data)).bit_length()))
     with np.errstate(over="ignore"):
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(byte[data] * up[: len(data)])))
         return _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts
@@ -390,7 +390,9 @@ def jaccard_components(
     stars = scratch.write(bounded(stars, points, percent), "stars")
     ends = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
     sets = scratch.write(sets_of(docs, points, ends, id_col, text_col), "star-sets")
+    spark.conf.set(ROWS, "64")  # a row holds two whole sets
     links = scratch.write(verified(stars, sets, percent), "star-links")
+    small_batches(spark)
     scratch.drop("star-sets", "stars")
     roots = scratch.write(connected_components(links), "star-roots")
 
@@ -398,7 +400,9 @@ def jaccard_components(
     scratch.drop("rooted", "tree-rows", "shared")
     ends = more.select(F.col("a").alias("node")).union(more.select("b")).distinct()
     sets = scratch.write(sets_of(docs, points, ends, id_col, text_col), "tree-sets")
+    spark.conf.set(ROWS, "64")
     all_links = scratch.write(links.union(verified(more, sets, percent)), "links")
+    small_batches(spark)
     scratch.drop("tree-sets", "tree-pairs", "star-links", "star-roots", "points")
 
     found = connected_components(all_links)
