@@ -26,20 +26,24 @@ WINDOW = 5
 
 @dataclass(frozen=True)
 class Rule:
-    """A document is kept only where ``least <= top / bottom <= most``; a zero bottom passes."""
+    """A document is kept only where ``least <= top / bottom <= most``; a zero bottom passes.
+
+    Documents of fewer than ``words`` words are not judged by the rule.
+    """
 
     name: str
     top: str
     bottom: str
     least: float | None = None
     most: float | None = None
+    words: int = 0
 
 
 RULES = (
     Rule("mean word length", "word_chars", "n_words", least=2.0, most=15.0),
     Rule("symbols per word", "n_symbols", "n_words", most=0.2),
-    Rule("repeated lines", "n_dup_lines", "n_lines", most=0.3),
-    Rule("stop words", "n_stop_words", "n_words", least=0.01),
+    Rule("repeated lines", "n_dup_lines", "n_lines", most=0.5),
+    Rule("stop words", "n_stop_words", "n_words", least=0.01, words=50),
 )
 
 
@@ -113,7 +117,7 @@ def verdict(rules: Sequence[Rule]) -> Column:
         ratio = F.try_divide(F.col(rule.top), F.col(rule.bottom))
         sides = [ratio >= rule.least] if rule.least is not None else []
         sides += [ratio <= rule.most] if rule.most is not None else []
-        return F.coalesce(reduce(lambda a, b: a & b, sides, F.lit(True)), F.lit(True))
+        return (F.col("n_words") < rule.words) | F.coalesce(reduce(lambda a, b: a & b, sides, F.lit(True)), F.lit(True))
 
     return reduce(lambda a, b: a & b, [holds(rule) for rule in rules], F.lit(True))
 
@@ -148,5 +152,5 @@ m AS (
   FROM w LEFT JOIN covered c USING (r)),
 j AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT *, NOT base_failed AND word_chars / n_words BETWEEN 2 AND 15 AND n_symbols / n_words <= 0.2
-  AND coalesce(n_dup_lines / n_lines <= 0.3, true) AND n_stop_words / n_words >= 0.01 AS kept FROM j
+  AND coalesce(n_dup_lines / n_lines <= 0.5, true) AND (n_words < 50 OR n_stop_words / n_words >= 0.01) AS kept FROM j
 """
