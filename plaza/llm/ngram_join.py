@@ -18,7 +18,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plaza.llm.common import ROWS, Scratch, pieces, small_batches
@@ -31,6 +31,7 @@ PER_GROUP = 8  # shingles in a group at most, on average: with more, random text
 FULL = 255  # a count of so many or more
 LEAF = 32  # points in a leaf of the tree
 BLOCK = 1024  # points of one shingle and size that meet in one task
+LEADERS = 6  # points that each point is compared with first
 BATCH_BYTES = 4 << 20
 SEGMENT = 1 << 20  # bytes that are hashed at once; cut at a space
 
@@ -273,15 +274,18 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(keep, "a long, b long").distinct()
 
 
-def tree_pairs(shared: DataFrame, roots: DataFrame, points: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+def tree_pairs(
+    shared: DataFrame, roots: DataFrame, points: DataFrame, scratch: Scratch, percent: int, first: bool = False
+) -> DataFrame:
     """Pairs that share a shingle, are not yet connected, and may link by an R-tree join of their points.
 
+    With ``first`` each point comes with only the least of its partners in each group.
     Points of a shingle are dealt by size, each to its own size class and as a guest to the one
     below; a class with more than BLOCK points is cut by a hash, and blocks meet pairwise in tasks
     of their own.
     """
     rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component", "leader")
-    rooted = scratch.write(rooted, "rooted")
+    rooted = scratch.write(rooted, f"rooted-{first}")
     # Shingles of one passage often have the same points: one of them is enough.
     members = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"x{seed}") for seed in (1, 2)]
     open_ = rooted.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("many"), *members)
@@ -289,7 +293,7 @@ def tree_pairs(shared: DataFrame, roots: DataFrame, points: DataFrame, scratch:
     rows = rooted.join(open_, "token").join(points.select("node", "n", "counts"), "node")
     size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
     rows = rows.withColumn("size", size).withColumn("class", F.explode(F.array(F.col("size"), F.col("size") - 1)))
-    rows = scratch.write(rows.withColumn("home", F.col("class") == F.col("size")), "tree-rows")
+    rows = scratch.write(rows.withColumn("home", F.col("class") == F.col("size")), f"tree-rows-{first}")
     cuts = rows.groupBy("token", "class").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("cuts"), F.max("home").alias("any"),
         F.count(F.lit(1)).alias("many"),
@@ -305,7 +309,7 @@ def tree_pairs(shared: DataFrame, roots: DataFrame, points: DataFrame, scratch:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in whole_groups(batches, key):
-            found = [_group_pairs(group, percent) for group in part]
+            found = [_group_pairs(group, percent, first) for group in part]
             a, b = (np.concatenate([np.zeros(0, np.int64), *side]) for side in zip(*found, strict=True))
             pairs = np.unique(np.stack((a, b)), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
@@ -346,7 +350,7 @@ def _cut(table: pa.Table, edges: np.ndarray) -> list[dict[str, np.ndarray]]:
     return [{name: values[a:b] for name, values in columns.items()} for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
-def _group_pairs(group: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _group_pairs(group: dict[str, np.ndarray], percent: int, first: bool) -> tuple[np.ndarray, np.ndarray]:
     node, root, home, n = (group[c] for c in ("node", "root", "home", "n"))
     none = np.zeros(0, np.int64)
     if (root == root[0]).all() or not home.any():
@@ -355,8 +359,13 @@ def _group_pairs(group: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray
     x, y = (np.concatenate([none, *side]) for side in zip((none, none), *tree.join(percent), strict=True))
     # A point may be in a block of its own twice; both sides of a pair as guests meet in their own class.
     keep = (root[x] != root[y]) & (home[x] | home[y])
-    a, b = node[x[keep]], node[y[keep]]
-    return np.minimum(a, b), np.maximum(a, b)
+    a, b = np.minimum(node[x[keep]], node[y[keep]]), np.maximum(node[x[keep]], node[y[keep]])
+    if first:
+        order = np.lexsort((a, b))
+        a, b = a[order], b[order]
+        own = np.append(True, b[1:] != b[:-1])[: len(b)]
+        a, b = a[own], b[own]
+    return a, b
 
 
 def jaccard_components(
@@ -365,8 +374,8 @@ def jaccard_components(
     """(row, doc_id, n_shingles, component_id) of every document.
 
     Documents link when 100 * shared >= percent * united shingles. Documents with equal sets are one
-    point. First each point is compared with the least point that shares a shingle, which connects
-    most groups of near copies without comparing them pairwise; the R-tree join then finds all links
+    point. First each point is compared with LEADERS of the least points of its shingles, those with
+    which it shares most, which connects most groups of near copies without comparing them pairwise; the R-tree join then finds all links
     between points that are not connected yet, so components are those of all links. NULL and empty
     texts link with nothing. A NULL id is never the smallest; repeated rows are equal documents.
     """
@@ -386,7 +395,11 @@ def jaccard_components(
     shared = scratch.write(tokens.join(met.select("token", "leader"), "token"), "shared")
     scratch.drop("profiles")
 
-    stars = shared.filter("node > leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    # Each point meets the leaders that it shares most shingles with; the tree finds the links of the others.
+    led = shared.filter("node > leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("many"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("many"), "leader"))
+    best = led.withColumn("place", place).filter(F.col("place") <= LEADERS)
+    stars = best.select(F.col("leader").alias("a"), F.col("node").alias("b"))
     stars = scratch.write(bounded(stars, points, percent), "stars")
     ends = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
     sets = scratch.write(sets_of(docs, points, ends, id_col, text_col), "star-sets")
@@ -394,18 +407,22 @@ def jaccard_components(
     links = scratch.write(verified(stars, sets, percent), "star-links")
     small_batches(spark)
     scratch.drop("star-sets", "stars")
-    roots = scratch.write(connected_components(links), "star-roots")
-
-    more = scratch.write(tree_pairs(shared, roots, points, scratch, percent), "tree-pairs")
-    scratch.drop("rooted", "tree-rows", "shared")
-    ends = more.select(F.col("a").alias("node")).union(more.select("b")).distinct()
-    sets = scratch.write(sets_of(docs, points, ends, id_col, text_col), "tree-sets")
-    spark.conf.set(ROWS, "64")
-    all_links = scratch.write(links.union(verified(more, sets, percent)), "links")
-    small_batches(spark)
-    scratch.drop("tree-sets", "tree-pairs", "star-links", "star-roots", "points")
 
-    found = connected_components(all_links)
+    label = "star-links"
+    for first in (True, False):
+        roots = scratch.write(connected_components(links), "roots")
+        more = scratch.write(tree_pairs(shared, roots, points, scratch, percent, first), "tree-pairs")
+        scratch.drop(f"rooted-{first}", f"tree-rows-{first}", "roots")
+        ends = more.select(F.col("a").alias("node")).union(more.select("b")).distinct()
+        sets = scratch.write(sets_of(docs, points, ends, id_col, text_col), "tree-sets")
+        spark.conf.set(ROWS, "64")
+        links = scratch.write(links.union(verified(more, sets, percent)), f"links-{first}")
+        small_batches(spark)
+        scratch.drop("tree-sets", "tree-pairs", label)
+        label = f"links-{first}"
+    scratch.drop("shared", "points")
+
+    found = connected_components(links)
     rooted = members.join(found, "node", "left").withColumn("root", F.coalesce("component", "node"))
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(names, "root").select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id")

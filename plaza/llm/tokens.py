@@ -25,7 +25,7 @@ PLAIN = re.compile(r"[\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u024f]*")
 PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 SHORT = 8  # words up to this length are kept together with punctuation
-MOST_WORDS = 500_000  # met lately by a Python worker; as many older ones are kept
+MOST_WORDS = 300_000  # met lately by a Python worker; as many older ones are kept
 
 
 def tokenizer_file(path: str) -> str:
