@@ -429,11 +429,19 @@ def jaccard_components(
 
 
 def keep_one_of_each(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without near copies: of each component the one with the smallest id, once.
+    """The rows without near copies: of each component the one with the smallest id, once.
 
-    Documents without words and documents with a NULL id stay.
+    Of rows with that id the first in a written table stays, so repeated rows leave one, and a row whose id
+    is also that of a copy is judged by its own text. Rows with a NULL id don't stand for others: of those
+    in a component one stays beside the one with an id. Rows without words stay, all of them.
     """
-    found = jaccard_components(docs, percent=percent, id_col=id_col, text_col=text_col)
-    dropped = found.filter("n_shingles > 0 and doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(dropped, F.col(id_col) == F.col("_id"), "left_anti")
-    return kept
+    scratch = Scratch(docs.sparkSession)
+    number = "_row"
+    while number in [name.lower() for name in docs.columns]:
+        number += "_"
+    numbered = scratch.write(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    # The numbers are the ids of the join, so each row is a document of its own there.
+    found = jaccard_components(numbered, percent=percent, id_col=number, text_col=text_col).select("doc_id", "component_id")
+    ids = numbered.select(F.col(number).alias("doc_id"), F.col(id_col).alias("_id"))
+    least = found.join(ids, "doc_id").groupBy("component_id", F.col("_id").isNull()).agg(F.min(F.struct("_id", "doc_id")).alias("least"))
+    return numbered.join(least.select(F.col("least.doc_id").alias(number)), number, "left_semi").select(*docs.columns)

@@ -125,6 +125,30 @@ def test_keep_one_of_each(docs):
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 3, 4, 6]
 
 
+def test_keep_one_of_each_decides_per_row(docs):
+    rng = random.Random(12)
+    base = [words(40, k) for k in range(6)]
+    texts = [" ".join(b) for b in base] + [" ".join(b) + " more" for b in base] + [None, "", " "]
+    rows = [(1, texts[0]), (1, texts[0]), (9, texts[0]), (9, " ".join(words(40, 77)))]
+    rows += [(rng.choice([None, 2, 3, 4, 5]), rng.choice(texts)) for _ in range(60)] + [(None, texts[1])] * 3
+    roots = {k: root for k, _, root in plain_components([(k, text) for k, (_, text) in enumerate(rows)])}
+    kept = ngram_join.keep_one_of_each(docs(*rows, extra="_row"))
+    assert kept.columns[-1] == "_row"
+    # Of rows that differ in neither id nor component any may stay: ids are compared per component.
+    expected, best = [], {}
+    for k, (key, text) in enumerate(rows):
+        if not plain_sets(text):
+            expected.append((key, "none"))
+        elif key is None:
+            best[roots[k], True] = None
+        else:
+            best[roots[k], False] = min(best.get((roots[k], False), key), key)
+    expected += [(key, root) for (root, _), key in best.items()]
+    root_of = {text: roots[k] if plain_sets(text) else "none" for k, (_, text) in enumerate(rows)}
+    assert sorted(map(str, ((r["doc_id"], root_of[r["text"]]) for r in kept.collect()))) == sorted(map(str, expected))
+    assert (9, rows[3][1]) in {(r["doc_id"], r["text"]) for r in kept.collect()}
+
+
 def test_bounds_never_lose_a_pair():
     rng = np.random.default_rng(3)
     base = [np.unique(rng.integers(0, 1 << 62, rng.integers(1, 400)).astype(np.uint64)) for _ in range(60)]
