@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -64,9 +65,11 @@ class Node:
     text: str
     article: bool
     linked: int  # characters inside links
+    suspects: tuple[int, ...] = ()  # the elements around it whose class or id names boilerplate
+    outside: tuple[int, ...] = ()  # those of them that hold the article or main element, too
 
 
-def _boilerplate(name: str, attributes: str, inside_article: bool) -> bool:
+def _boilerplate(name: str, attributes: str, inside_article: bool, words_count: bool = True) -> bool:
     if name in NOT_TEXT or name == "header" and not inside_article:
         return True
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower() or name in ("html", "body"):
@@ -74,7 +77,7 @@ def _boilerplate(name: str, attributes: str, inside_article: bool) -> bool:
     for match in ATTRIBUTE.finditer(attributes):
         key = (match[1] or match[5]).lower()
         value = (match[2] or match[3] or match[4] or "").lower()
-        if key in ("class", "id") and name not in ("article", "main"):
+        if words_count and key in ("class", "id") and name not in ("article", "main"):
             words = WORD.findall(value)
             if not (NOT_WORDS if OF_ARTICLE.isdisjoint(words) else NOT_WORDS - EITHER).isdisjoint(words):
                 return True
@@ -92,6 +95,8 @@ def text_nodes(page: str) -> list[Node]:
     held: list[str] = []
     linked = links = 0
     lower = None
+    suspects: list[tuple[int, int]] = []  # place in the stack and number of the open elements that class words name
+    number = 0
 
     def close_block() -> None:
         nonlocal linked
@@ -99,8 +104,10 @@ def text_nodes(page: str) -> list[Node]:
         held.clear()
         if text and not (stack and stack[-1][1]):
             names = [name for name, _, _ in stack]
+            first = next((k for k, n in enumerate(names) if n in ("article", "main")), 0)
+            outside = tuple(n for k, n in suspects if k < first)
             path = "/".join(shown for name, _, shown in stack if name in BLOCKS)
-            nodes.append(Node(path, text, "article" in names or "main" in names, min(linked, len(text))))
+            nodes.append(Node(path, text, "article" in names or "main" in names, min(linked, len(text)), tuple(n for _, n in suspects), outside))
         linked = 0
 
     def hold(text: str) -> None:
@@ -114,6 +121,8 @@ def text_nodes(page: str) -> list[Node]:
             close_block()
         links -= sum(name == "a" for name, _, _ in stack[place:])
         del stack[place:]
+        while suspects and suspects[-1][0] >= place:
+            suspects.pop()
 
     at = 0
     while at < len(page):
@@ -176,9 +185,29 @@ def text_nodes(page: str) -> list[Node]:
             held.append(" ")
         kind = CLASS.search(attributes) if attributes else None
         links += name == "a"
-        stack.append((name, outer or _boilerplate(name, attributes, within), f"{name}.{kind[1].lower()}" if kind else name))
+        drop = outer or _boilerplate(name, attributes, within)
+        if drop and not outer and name in BLOCKS and not _boilerplate(name, attributes, within, words_count=False):
+            drop, number = False, number + 1
+            suspects.append((len(stack), number))
+        stack.append((name, drop, f"{name}.{kind[1].lower()}" if kind else name))
     close_block()
-    return nodes
+    return _cleared(nodes) if number else nodes
+
+
+def _cleared(nodes: list[Node]) -> list[Node]:
+    """The blocks without those in suspect elements: one is cleared by most of the unlinked text, or by the page's only article."""
+    size, articles = Counter(), set()
+    for n in nodes:
+        for k in n.suspects:
+            size[k] += len(n.text) - n.linked
+        articles.update(n.suspects if n.article else ())
+    total = sum(len(n.text) - n.linked for n in nodes)
+    if any(n.article and not n.suspects for n in nodes):
+        return [n for n in nodes if not n.suspects]
+    # A suspect element inside an article holds none, and is judged by its text.
+    inner = {k for n in nodes if n.article for k in n.suspects if k not in n.outside}
+    cleared = {k for k, many in size.items() if 2 * many > total} | (articles - inner)
+    return [n for n in nodes if cleared.issuperset(n.suspects)]
 
 
 def path_scores(nodes: list[Node], smooth: float = 1.0) -> np.ndarray:

@@ -176,6 +176,16 @@ def test_links_beside_the_text_are_left_out():
     assert html_text.main_text(f"<body>{links}<div class='x'><p>Real text, and a lot of it, is here.</p><p>More, too.</p></div>{links}</body>") == "Real text, and a lot of it, is here.\nMore, too."
 
 
+@pytest.mark.parametrize("names", ["content has-sidebar", "layout no-sidebar", "page comments-open", "wrapper with-menu"])
+def test_class_words_of_a_wrapper_do_not_drop_the_article(names):
+    text = "<p>Real text, and a lot of it, is here.</p><div class='share'>Share it, now.</div><p>More, too.</p>"
+    side = "<div class='sidebar'><p>Short, beside.</p></div>"
+    for body in (f"<article>{text}</article>", f"<main>{text}</main>", text):
+        assert html_text.main_text(f"<div class='{names}'>{body}{side}</div>") == "Real text, and a lot of it, is here.\nMore, too."
+    comments = "<div id='comments'><article>A comment that is longer than the text itself, by far, as some are.</article></div>"
+    assert html_text.main_text(f"<article>{text}</article>{comments}") == "Real text, and a lot of it, is here.\nMore, too."
+
+
 # --- secrets ---
 
 
