@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plaza.llm import embedding_join, html_text, importance, language, mixing, ngram_join, packing, quality_rules, secret_scan, token_files, url_filter, warc
+from plaza.llm import conversation_trie, embedding_join, html_text, importance, language, mixing, ngram_join, packing, quality_rules, secret_scan, token_files, url_filter, warc
 from plaza.llm.common import table
 from plaza.session import new_folder
 
@@ -58,6 +58,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "archives")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -68,5 +72,5 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_mix_sources, op2_best_fit_packing, op3_token_files, op4_quality_rules, op5_language_id, op6_ngram_join, op7_html_text, op8_embedding_near_dup, op9_secret_scan, op10_url_filter, op12_warc, op13_importance_resampling)}
-ORACLES: dict[str, str] = {"op1_mix_sources": mixing.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op8_embedding_near_dup": embedding_join.ORACLE, "op10_url_filter": url_filter.ORACLE, "op12_warc": warc.ORACLE, "op13_importance_resampling": importance.ORACLE}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_mix_sources, op2_best_fit_packing, op3_token_files, op4_quality_rules, op5_language_id, op6_ngram_join, op7_html_text, op8_embedding_near_dup, op9_secret_scan, op10_url_filter, op11_conversation_trie, op12_warc, op13_importance_resampling)}
+ORACLES: dict[str, str] = {"op1_mix_sources": mixing.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op8_embedding_near_dup": embedding_join.ORACLE, "op10_url_filter": url_filter.ORACLE, "op11_conversation_trie": conversation_trie.ORACLE, "op12_warc": warc.ORACLE, "op13_importance_resampling": importance.ORACLE}
