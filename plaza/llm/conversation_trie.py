@@ -28,14 +28,14 @@ def turn_hash(role: Column, text: Column) -> Column:
 def shared_opening(turns: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(conv_id, depth, key, words) of the rebuilt turns, and (conv_id) of every conversation with its length.
 
-    The opening of conversation c is the first crc32(c) % 4 turns of conversation c - c % 20; c's own turns
-    follow after as many of its own.
+    The opening of conversation c is the first crc32(c) % 4 turns of conversation c - c % 20 (the remainder is
+    never negative); c's own turns follow after as many of its own.
     """
     numbered = running_sums(turns, ["conv_id"], [F.col("turn").asc_nulls_first(), "key", "row"], {"at": F.lit(1).cast("long")}, scratch, "turn-ranges")
     numbered = scratch.write(numbered.select("conv_id", "at", "key", "words"), "numbered")
     scratch.drop("turn-ranges")
     head = F.crc32(F.col("conv_id").cast("string")) % HEADS
-    first = F.col("conv_id") - F.col("conv_id") % GROUP
+    first = F.col("conv_id") - F.pmod("conv_id", F.lit(GROUP))
     own = numbered.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).withColumns({"head": head, "first": first})
     opener = own.filter("conv_id = first").select("first", F.col("n").alias("_n"))
     given = F.least("head", F.coalesce("_n", F.lit(0)))
@@ -271,7 +271,7 @@ own AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY i) AS turns
 headed AS (SELECT conv_id, turns, {crc_sql('conv_id::VARCHAR')} % {HEADS} AS h FROM own, crc),
 rebuilt AS (
   SELECT c.conv_id, list_concat(coalesce(p.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
-  FROM headed c LEFT JOIN own p ON p.conv_id = c.conv_id - c.conv_id % {GROUP}),
+  FROM headed c LEFT JOIN own p ON p.conv_id = c.conv_id - (c.conv_id % {GROUP} + {GROUP}) % {GROUP}),
 pre AS (SELECT conv_id, d, CASE WHEN d > 0 THEN sha256(to_json(turns[1:d])::VARCHAR) ELSE '' END AS k, CASE WHEN d > 1 THEN sha256(to_json(turns[1:d - 1])::VARCHAR) ELSE '' END AS up,
     CASE WHEN d > 0 THEN len(regexp_extract_all(turns[d].text, '{WORDS}')) ELSE 0 END AS words, d = len(turns) AS ends
   FROM rebuilt, LATERAL (SELECT unnest(range(0, len(turns) + 1)) AS d)),

@@ -249,7 +249,7 @@ def archived_pages(spark: SparkSession, path: str) -> DataFrame:
     scratch = Scratch(spark)
     # The records without their payloads are written, as several joins read them.
     whole = captures(scratch.write(read_archives(spark, path), "records"))
-    page = F.filter("metadata", lambda m: m["fields"]["page-id"].isNotNull())[0]["fields"]["page-id"].cast("long")
+    page = F.get(F.filter("metadata", lambda m: m["fields"]["page-id"].isNotNull()), F.lit(0))["fields"]["page-id"].cast("long")
     flat = scratch.write(whole.select(page.alias("page_id"), F.col("response.target_uri").alias("url"), F.col("response").alias("r")), "captures")
     scratch.drop("records")
     answers = flat.filter("r.type = 'response'")

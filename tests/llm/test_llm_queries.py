@@ -14,7 +14,7 @@ from plaza.llm.queries import ORACLES, QUERIES
 
 ROOT = Path(__file__).resolve().parents[2]
 SMALL = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "embeddings", "labels")
+TABLES = ("documents", "pages", "embeddings", "labels", "benchmark", "conversations")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -31,7 +31,7 @@ def test_query_agrees_with_its_sql(spark, name):
 
 
 def test_one_query_for_each_number():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_stages_in_turn(spark, tmp_path):
