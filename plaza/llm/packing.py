@@ -60,75 +60,82 @@ def cut_documents(
     return given.mapInArrow(cut, f"doc_id {id_type.simpleString()}, {ddl}")
 
 
-def best_fill(prices: np.ndarray, capacity: int) -> np.ndarray:
-    """Unbounded knapsack: how many pieces of each length have the highest price within the capacity."""
-    offered = np.flatnonzero(prices > 0)
-    values, own = np.zeros(capacity + 1), prices[offered]
-    choice = np.zeros(capacity + 1, np.int64)
-    fits = np.searchsorted(offered, np.arange(capacity + 1), side="right")
+def knapsack(prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack for every room up to the capacity: the highest price, and a piece that gets it (0: leave one free)."""
+    own = np.where(prices > 0, prices, -np.inf)[1 : capacity + 1]
+    values, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
     for room in range(1, capacity + 1):
-        n = fits[room]
+        found = values[room - 1 :: -1] + own[:room]
+        k = int(found.argmax())
         values[room] = values[room - 1]
-        if n:
-            found = values[room - offered[:n]] + own[:n]
-            k = int(found.argmax())
-            if found[k] > values[room]:
-                values[room], choice[room] = found[k], offered[k]
+        if found[k] > values[room]:
+            values[room], choice[room] = found[k], k + 1
+    return values, choice
+
+
+def best_fill(prices: np.ndarray, capacity: int) -> np.ndarray:
+    """How many pieces of each length have the highest price within the capacity."""
+    choice = knapsack(prices, capacity)[1].tolist()
     used, room = np.zeros(capacity + 1, np.int64), capacity
     while room > 0:
-        length = choice[room]
-        if length:
-            used[length] += 1
-        room -= int(length) or 1
+        if choice[room]:
+            used[choice[room]] += 1
+        room -= choice[room] or 1
     return used
 
 
-def solve(counts: np.ndarray, capacity: int, rounds: int, step: float = 0.34, rate: float = 1.0) -> list[tuple[float, np.ndarray]]:
-    """The configuration linear program by multiplicative weights.
+def solve(counts: np.ndarray, capacity: int, within: int, step: float = 0.34, rate: float = 0.3) -> list[tuple[int, np.ndarray]]:
+    """The configuration program by multiplicative weights: (uses, configuration) pairs within the demand.
 
-    Each round the knapsack finds the configuration of the highest price. It is used so much that it
-    covers at most the share ``step`` of what any of its lengths demands, and the price of a length
-    falls by ``exp(-rate * covered share)``. A length that is covered is not priced any more.
+    A round prices all lengths that are left and solves one knapsack, which gives for every length the
+    best configuration that holds it. From the best on, each that leaves at most 1/``within`` of the capacity
+    free is used: as often as the share ``step`` of what is left of its lengths allows, rounded down, and
+    at least once. Then the price of a length that is covered less than the others rises, and falls for one
+    that is covered more, by a factor exponential in the difference. Ends when no such configuration is left.
     """
-    lengths = np.arange(capacity + 1)
-    demand = counts.astype(float)
+    lengths, demand = np.arange(capacity + 1), np.maximum(counts, 1)
     # Longer pieces are harder to place, so they start a little dearer than their length.
-    prices = np.where(counts > 0, lengths * (1 + lengths / capacity / 8), 0.0)
-    open_ = demand.copy()
-    solved = []
-    for _ in range(rounds):
-        if not (open_ > 1e-9).any():
-            break
-        config = np.minimum(best_fill(np.where(open_ > 1e-9, prices, 0.0), capacity), np.ceil(open_).astype(np.int64))
-        used = np.flatnonzero(config)
-        if not len(used):
-            break
-        most = (np.maximum(step * demand[used], 1.0) / config[used]).min()
-        amount = min(most, (open_[used] / config[used]).min() + 1e-9)
-        solved.append((amount, config))
-        share = np.zeros(capacity + 1)
-        share[used] = amount * config[used] / demand[used]
-        open_ = np.maximum(open_ - amount * config, 0.0)
-        prices *= np.exp(-rate * share)
-    return solved
-
-
-def rounded(counts: np.ndarray, solved: list[tuple[float, np.ndarray]], capacity: int) -> list[Configuration]:
-    """Whole uses of the solution's full configurations, then the rest by best fit, equal sequences together.
-
-    The last configurations of the solution serve lengths that lack partners; rounded up, each would
-    cost a sequence, so what is not full up to 1 in 256 is left to the best fit.
-    """
+    base, weights = lengths * (1 + lengths / capacity / 8), np.ones(capacity + 1)
+    rest = counts.astype(np.int64).tolist()
+    solved: list[tuple[int, np.ndarray]] = []
+    while True:
+        left = np.array(rest)
+        prices = np.where(left > 0, base * weights, 0.0)
+        values, choice = knapsack(prices, capacity)
+        ways, filled = choice.tolist(), [0] * (capacity + 1)
+        for room in range(1, capacity + 1):
+            filled[room] = ways[room] + filled[room - ways[room]] if ways[room] else filled[room - 1]
+        full = (left > 0) & (lengths + np.array(filled[::-1]) >= capacity - capacity // within)
+        offered = np.flatnonzero(full)
+        worth = np.round(prices[offered] + values[capacity - offered], 9)
+        share = [max(1, int(step * n)) for n in rest]
+        found = 0
+        for first in offered[np.lexsort((-offered, -worth))].tolist():
+            config, room = {first: 1}, capacity - first
+            while room > 0:
+                if ways[room]:
+                    config[ways[room]] = config.get(ways[room], 0) + 1
+                room -= ways[room] or 1
+            if any(rest[length] < many or share[length] < 1 for length, many in config.items()):
+                continue
+            times = max(1, min(share[length] // many for length, many in config.items()))
+            for length, many in config.items():
+                rest[length] -= times * many
+                share[length] -= times * many
+            used = np.zeros(capacity + 1, np.int64)
+            used[list(config)] = list(config.values())
+            solved.append((times, used))
+            found += times
+        if not found:
+            return solved
+        open_ = np.array(rest) / demand
+        if (left := open_ > 0).any():
+            weights = np.exp(rate * (open_ - open_[left].mean()))
+
+
+def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, np.ndarray]]:
+    """Fill sequence by sequence with the longest piece that fits, equal sequences together."""
     rest, chosen = counts.astype(np.int64).copy(), []
-    lengths = np.arange(capacity + 1)
-    for amount, config in solved:
-        used = np.flatnonzero(config)
-        if (config * lengths).sum() < capacity - capacity // 256:
-            continue
-        times = int(min(np.floor(amount + 1e-6), (rest[used] // config[used]).min()))
-        if times:
-            rest -= times * config
-            chosen.append((times, config))
     while rest.any():
         config, room = np.zeros(capacity + 1, np.int64), capacity
         while room and len(fitting := np.flatnonzero((rest[: room + 1] - config[: room + 1]) > 0)):
@@ -140,6 +147,16 @@ def rounded(counts: np.ndarray, solved: list[tuple[float, np.ndarray]], capacity
         times = int((rest[used] // config[used]).min())
         rest -= times * config
         chosen.append((times, config))
+    return chosen
+
+
+def rounded(counts: np.ndarray, solved: list[tuple[int, np.ndarray]], capacity: int) -> list[Configuration]:
+    """The solution's configurations and the rest by best fit; best fit alone in the rare case that it needs fewer sequences."""
+    rest = counts - sum((times * config for times, config in solved), np.zeros(capacity + 1, np.int64))
+    chosen = [*solved, *best_fit(rest, capacity)]
+    alone = best_fit(counts, capacity)
+    if sum(times for times, _ in alone) < sum(times for times, _ in chosen):
+        chosen = alone
     plan = []
     for times, config in chosen:
         used = [int(x) for x in np.flatnonzero(config)[::-1]]
@@ -161,13 +178,13 @@ def slots(plan: list[Configuration], capacity: int) -> dict[int, tuple[np.ndarra
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 0, rounds: int = 400,
+    docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 0, within: int = 1000,
     id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False,
 ) -> DataFrame:
     """Place every piece of every document: the columns of cut_documents, ``sequence_id``, ``offset``.
 
     The driver sees the number of pieces per length, at most ``capacity`` rows, and solves the packing
-    for lengths; pieces then find their place by their rank among those of their length. The rank is
+    for lengths up to 1/``within`` of a sequence; pieces then find their place by their rank among those of their length. The rank is
     a sum over tasks and the number within a task, so no length gathers in one place. NULL texts are
     documents with the end id alone; repeated rows and ids are separate documents; an empty table
     gives an empty one.
@@ -177,7 +194,7 @@ def pack_documents(
     counts = np.zeros(capacity + 1, np.int64)
     for row in tallied.groupBy("length").agg(F.sum("n").alias("n")).collect():  # one row per length
         counts[row["length"]] = row["n"]
-    table = slots(rounded(counts, solve(counts, capacity, rounds), capacity), capacity)
+    table = slots(rounded(counts, solve(counts, capacity, within), capacity), capacity)
     before = Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     bases = tallied.select("length", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
 

@@ -78,6 +78,28 @@ def test_packing_places_every_token_once(docs, plain):
     assert len(sequences) <= -(-total // 128) + 3
 
 
+def test_packing_needs_no_sequence_more_than_pieces_over_half(docs):
+    """102 full pieces and 30 of more than half a sequence: no two of them fit together, so 132 is the least there is."""
+    found = packing.pack_documents(docs(*texts()), PATH, capacity=128).collect()
+    over_half = sum(r["length"] > 64 for r in found)
+    assert len({r["sequence_id"] for r in found}) == over_half == 132
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_configurations_place_most_sequences(seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.minimum(rng.lognormal(4.5, 1.2, 20_000).astype(int) + 1, 512)
+    counts = np.bincount(lengths, minlength=513)
+    solved = packing.solve(counts, 512, 250)
+    assert all((config * np.arange(513)).sum() in range(510, 513) for _, config in solved)
+    assert (sum(times * config for times, config in solved) <= counts).all()
+    plan = packing.rounded(counts, solved, 512)
+    used = sum(times for times, _ in plan)
+    assert sum(times for times, _ in solved) >= 0.95 * used
+    assert used <= sum(times for times, _ in packing.best_fit(counts, 512))
+    assert used <= -(-int((counts * np.arange(513)).sum()) // 512) + 8
+
+
 def test_packing_nothing(docs):
     assert packing.pack_documents(docs(), PATH).collect() == []
 
