@@ -907,3 +907,40 @@ ORACLES["replayed_gold_commenters"] = _with(SNAPSHOT_COMMENTS) + f"""
 SELECT community AS subreddit, author, count(*) AS comment_count, CAST(sum(score) AS BIGINT) AS total_score,
   avg(score) AS avg_score, count(DISTINCT post_id) AS posts_commented
 FROM snapshot_comments WHERE ingest_date = '{RUNS[2]}' GROUP BY ALL"""
+
+ORACLES["incremental_silver_posts"] = ORACLES["streamed_silver_posts"]
+
+ORACLES["incremental_gold_weeks"] = ORACLES["streamed_gold_weeks"]
+
+ORACLES["incremental_gold_commenters"] = _with(SNAPSHOT_COMMENTS) + """
+SELECT community AS subreddit, author, count(*) AS comment_count, CAST(sum(score) AS BIGINT) AS total_score,
+  avg(score) AS avg_score, count(DISTINCT post_id) AS posts_commented
+FROM snapshot_comments WHERE author <> '[deleted]' GROUP BY ALL"""
+
+ORACLES["new_ids_of_runs"] = _with(SNAPSHOT_POSTS) + f"""
+, ids AS (SELECT DISTINCT subreddit, ingest_date AS run, id FROM snapshot_posts),
+first AS (SELECT subreddit, id FROM ids WHERE run = '{RUNS[0]}'),
+second AS (SELECT subreddit, id FROM ids WHERE run = '{RUNS[1]}'),
+new_second AS (SELECT * FROM second EXCEPT SELECT * FROM first),
+known AS (
+  SELECT * FROM second WHERE subreddit IN (SELECT subreddit FROM new_second)
+  UNION ALL SELECT * FROM first WHERE subreddit NOT IN (SELECT subreddit FROM new_second))
+SELECT subreddit, '{RUNS[0]}' AS run, id FROM first
+UNION ALL SELECT subreddit, '{RUNS[1]}' AS run, id FROM new_second
+UNION ALL SELECT subreddit, '{RUNS[2]}' AS run, id FROM (
+  SELECT subreddit, id FROM ids WHERE run = '{RUNS[2]}' EXCEPT SELECT * FROM known)"""
+
+ORACLES["comment_counts_of_runs"] = _with(SNAPSHOT_POSTS) + f"""
+, latest_of_run AS (SELECT * FROM snapshot_posts QUALIFY row_number() OVER (
+  PARTITION BY community, ingest_date, id ORDER BY file_name DESC, position DESC) = 1),
+candidates AS (SELECT ingest_date AS run, subreddit || '/' || id AS post_id, num_comments, CAST(substring(id, 2) AS BIGINT) % 4 <> 0 AS works
+  FROM latest_of_run WHERE num_comments >= 5
+  QUALIFY row_number() OVER (PARTITION BY ingest_date, subreddit ORDER BY score + 2 * num_comments DESC, id) <= 50),
+first AS (SELECT *, CAST(NULL AS BIGINT) AS cached FROM candidates WHERE run = '{RUNS[0]}'),
+cache_1 AS (SELECT post_id, num_comments FROM first WHERE works),
+second AS (SELECT c.*, k.num_comments AS cached FROM candidates c LEFT JOIN cache_1 k USING (post_id) WHERE run = '{RUNS[1]}'),
+fetched_2 AS (SELECT post_id, num_comments FROM second WHERE works AND cached IS DISTINCT FROM num_comments),
+cache_2 AS (SELECT * FROM fetched_2 UNION ALL SELECT * FROM cache_1 WHERE post_id NOT IN (SELECT post_id FROM fetched_2)),
+third AS (SELECT c.*, k.num_comments AS cached FROM candidates c LEFT JOIN cache_2 k USING (post_id) WHERE run = '{RUNS[2]}')
+SELECT post_id, run, num_comments, cached, cached IS DISTINCT FROM num_comments AS changed
+FROM (SELECT * FROM first UNION ALL SELECT * FROM second UNION ALL SELECT * FROM third)"""

@@ -16,7 +16,7 @@ from plaza.plans import context, fallback, gold, insights, publish, serve, silve
 from plaza.plans.medallion import Tables, run_medallion
 from plaza.session import new_folder, stage
 from plaza.sources import listings, paths, sinks, snapshots, tables
-from plaza.streaming import ingest
+from plaza.streaming import incremental, ingest, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1027,3 +1027,74 @@ def replayed_gold_commenters(spark, sf_dir):
     for _ in range(2):
         ingest.replay_latest(made, files)
     return made.open("gold_top_commenters").drop("computed_at", "ingest_date", "bucket")
+
+
+def _incremental(spark, sf_dir) -> incremental.States:
+    """The same files through the stream with keyed state, some files per batch."""
+
+    def load() -> incremental.States:
+        states = incremental.States(_new_tables(spark, "incremental")).create()
+        incremental.start_incremental(states, b.snapshot_root(spark, sf_dir), max_files=8).awaitTermination()
+        return states
+
+    return b.once(spark, sf_dir, "incremental", load)
+
+
+@query
+def incremental_silver_posts(spark, sf_dir):
+    rows = _incremental(spark, sf_dir).tables.open("silver_posts")
+    return rows.select("id", "subreddit", "title", "author", "score", "num_comments", "created_utc", "ingest_date")
+
+
+@query
+def incremental_gold_weeks(spark, sf_dir):
+    return incremental.gold_weeks(_incremental(spark, sf_dir))
+
+
+@query
+def incremental_gold_commenters(spark, sf_dir):
+    return incremental.gold_commenters(_incremental(spark, sf_dir))
+
+
+def _stream_steps(spark, label, ddl, build, steps) -> DataFrame:
+    """Write the rows of each step in turn, which may depend on what came out so far, and stream them as a batch."""
+    base, session = new_folder(spark, label), stateful.stateful_session(spark)
+    for step in steps:
+        step(lambda: spark.read.parquet(f"{base}/out")).write.mode("append").parquet(f"{base}/in")
+        made = build(session.readStream.schema(ddl).parquet(f"{base}/in"))
+        sink = made.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+        sink.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@query
+def new_ids_of_runs(spark, sf_dir):
+    """The ids that each of three runs, a batch each, calls new."""
+    posts = b.snapshot_posts(spark, sf_dir).select("subreddit", F.col("ingest_date").alias("run"), "id")
+    steps = [lambda _, run=run: posts.where(F.col("run") == run) for run in b.RUNS]
+    return _stream_steps(spark, "seen-ids", "subreddit string, run string, id string", stateful.new_ids, steps)
+
+
+@query
+def comment_counts_of_runs(spark, sf_dir):
+    """Candidates of three runs against the counts of earlier fetches; a fourth of the fetches fail."""
+    posts = b.snapshot_posts(spark, sf_dir).withColumn("run", F.col("ingest_date"))
+    latest = dedupe.dedupe_latest_snapshot(posts, ["community", "run", "id"])
+    nothing = spark.createDataFrame([], "post_id string, num_comments long")
+    found = state.comment_candidates(latest, nothing, min_comments=5, top_k=50, per=["run", "subreddit"])
+    named = found.select(F.concat_ws("/", "subreddit", "id").alias("post_id"), "run", "num_comments", F.lit(None).cast("boolean").alias("fetched"))
+
+    def step(run: str, before: str | None):
+        def rows(out):
+            candidates = named.where(F.col("run") == run)
+            if before is None:
+                return candidates
+            due = out().where(F.col("changed") & (F.col("run") == before))
+            works = F.substring_index("post_id", "/e", -1).cast("bigint") % 4 != 0
+            return candidates.unionByName(due.select("post_id", "run", "num_comments", works.alias("fetched")))
+
+        return rows
+
+    steps = [step(run, before) for run, before in zip(b.RUNS, (None, *b.RUNS), strict=False)]
+    ddl = "post_id string, run string, num_comments long, fetched boolean"
+    return _stream_steps(spark, "comment-counts", ddl, stateful.count_changes, steps)

@@ -44,8 +44,25 @@ def _clean(
         day.cast("string").alias("ingest_date"),
         *place,
     )
-    unique = dedupe_ranked(typed, ["id"], newest_first(typed, ["ingest_date", *place]))
-    return unique.drop("file_name", "position")
+    return typed
+
+
+def _newest(typed: DataFrame) -> DataFrame:
+    place = ["ingest_date", "_source_file", "file_name", "position"]
+    return dedupe_ranked(typed, ["id"], newest_first(typed, place)).drop("file_name", "position")
+
+
+def clean_posts(
+    bronze: DataFrame, ingest_date: str | None = None, drop_authors: Sequence[str] = DELETED
+) -> DataFrame:
+    """Posts with id, title and a known author, typed and defaulted, with their place: all versions."""
+    return _clean(bronze, schemas.SILVER_POSTS, ["id", "title"], ingest_date, drop_authors)
+
+
+def clean_comments(
+    bronze: DataFrame, ingest_date: str | None = None, drop_authors: Sequence[str] = DELETED
+) -> DataFrame:
+    return _clean(bronze, schemas.SILVER_COMMENTS, ["id", "body"], ingest_date, drop_authors)
 
 
 def silver_posts(
@@ -56,10 +73,10 @@ def silver_posts(
     The day is the argument, or each row's ``_ingest_date``. ``_source_file`` is kept if the
     input has it: the merge uses it to order files of one day.
     """
-    return _clean(bronze, schemas.SILVER_POSTS, ["id", "title"], ingest_date, drop_authors)
+    return _newest(clean_posts(bronze, ingest_date, drop_authors))
 
 
 def silver_comments(
     bronze: DataFrame, ingest_date: str | None = None, drop_authors: Sequence[str] = DELETED
 ) -> DataFrame:
-    return _clean(bronze, schemas.SILVER_COMMENTS, ["id", "body"], ingest_date, drop_authors)
+    return _newest(clean_comments(bronze, ingest_date, drop_authors))
