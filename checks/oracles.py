@@ -561,6 +561,22 @@ SELECT count(*) AS total_posts, (SELECT count(DISTINCT tool) FROM mentions) AS u
   (SELECT count(DISTINCT doc_id) FROM mentions) AS posts_with_tools
 FROM documents"""
 
+ORACLES["fallback_report"] = _with(_tools(WORDS)) + """
+, tools AS (
+  SELECT 'tools' AS section, tool AS name, count(*) AS posts, CAST(sum(n_chars) AS BIGINT) AS total_score, round(avg(n_chars), 1) AS avg_score,
+    row_number() OVER (ORDER BY count(*) DESC, tool) AS place
+  FROM mentions JOIN documents USING (doc_id) GROUP BY tool),
+communities AS (
+  SELECT 'communities' AS section, lang AS name, count(*) AS posts, CAST(sum(n_chars) AS BIGINT) AS total_score, round(avg(n_chars), 1) AS avg_score,
+    row_number() OVER (ORDER BY count(*) DESC, lang) AS place
+  FROM documents GROUP BY lang)
+SELECT section, CAST(place AS INTEGER) AS place, name, posts, total_score, avg_score, CAST(NULL AS BIGINT) AS posts_with_tools,
+  CAST(NULL AS BIGINT) AS unique_tools, CAST(NULL AS BIGINT) AS unique_subreddits
+FROM (SELECT * FROM tools WHERE place <= 15 UNION ALL SELECT * FROM communities WHERE place <= 10)
+UNION ALL SELECT 'totals', 1, NULL, count(*), CAST(sum(n_chars) AS BIGINT), round(avg(n_chars), 1),
+  (SELECT count(DISTINCT doc_id) FROM mentions), (SELECT count(DISTINCT tool) FROM mentions), count(DISTINCT lang)
+FROM documents"""
+
 ORACLES["fallback_silver_posts"] = _with(BRONZE_POSTS) + """
 SELECT id, subreddit, title, selftext AS selftext_clean, author, coalesce(score, 0) AS score, num_comments,
   0 AS tools_count

@@ -600,6 +600,11 @@ def fallback_summary(spark, sf_dir):
     return fallback.fallback_summary(documents_silver(spark, sf_dir))
 
 
+@query
+def fallback_report(spark, sf_dir):
+    return fallback.fallback_report(documents_silver(spark, sf_dir))
+
+
 @query
 def fallback_silver_posts(spark, sf_dir):
     rows = fallback.fallback_silver(b.bronze_posts(spark, sf_dir))

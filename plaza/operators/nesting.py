@@ -36,31 +36,38 @@ def collect_in_parts(
     *,
     into: str,
     max_items: int = 1000,
+    hot: int = 100_000,
 ) -> DataFrame:
     """Per key, the rows as sorted lists of structs: keys, part, parts, total and the list.
 
     Every list but the last of a key has ``max_items`` rows, and the parts follow each other in
     the stated order, so their concatenation is sorted; ``total`` counts the key's rows. The
     ``order`` columns must tell the rows of a key apart. No row is dropped.
+
+    A narrow pass finds the keys with more than ``hot`` rows. All others are numbered, cut and
+    listed in one shuffle by key; those are numbered in sorted ranges, so that no task has to
+    sort a whole hot key.
     """
     element = F.struct(
         *[F.col(name).alias(f"_order{at}") for at, name in enumerate(order)],
         F.struct(*items).alias("_item"),
     )
     listed = F.transform(F.array_sort(F.collect_list(element)), lambda row: row["_item"]).alias(into)
+    part: Column = F.floor(F.col("_rank") / max_items).cast("int").alias("part")
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
-    large = stage(sizes.where(F.col("total") > max_items), "large-keys")
-    shown = [*keys, "part", "parts", "total", into]
+    parts = F.ceil(F.col("total") / max_items).cast("int").alias("parts")
+    shown = [*keys, "part", parts, "total", into]
 
-    def whole(rows: DataFrame) -> DataFrame:
-        parts = [F.lit(0).alias("part"), F.lit(1).alias("parts")]
-        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), listed).select(*keys, *parts, "total", into)
+    def numbered_by_key(rows: DataFrame) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
+        lists = rows.withColumn("_rank", place).groupBy(*keys, part).agg(listed)
+        total = F.sum(F.size(into)).over(Window.partitionBy(*keys))
+        return lists.withColumn("total", total).select(*shown)
 
-    if large.isEmpty():
-        return whole(df)
+    if (sizes.agg(F.max("total")).first()[0] or 0) <= hot:
+        return numbered_by_key(df)
+    large = stage(sizes.where(F.col("total") > hot), "large-keys")
     ranked = _ranks(join_groups(df, large.select(*keys), keys, "left_semi", null_safe=True), keys, order)
-    part: Column = F.floor(F.col("_rank") / max_items).cast("int")
-    cut = ranked.withColumn("part", part).groupBy(*keys, "part").agg(listed)
-    cut = join_groups(cut, large, keys, "inner", null_safe=True)
-    cut = cut.withColumn("parts", F.ceil(F.col("total") / max_items).cast("int")).select(*shown)
-    return whole(join_groups(df, large.select(*keys), keys, "left_anti", null_safe=True)).unionByName(cut)
+    cut = join_groups(ranked.groupBy(*keys, part).agg(listed), large, keys, "inner", null_safe=True).select(*shown)
+    rest = join_groups(df, large.select(*keys), keys, "left_anti", null_safe=True)
+    return numbered_by_key(rest).unionByName(cut)

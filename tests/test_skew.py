@@ -58,6 +58,14 @@ def test_hot_list_is_split(spark, skewed):
     assert nested.select(F.explode("vs.v").alias("v")).distinct().count() == N
 
 
+@pytest.mark.parametrize("hot", [1, 400, 100_000])
+def test_lists_do_not_depend_on_which_keys_are_hot(spark, skewed, hot):
+    nested = collect_in_parts(skewed, ["k"], ["v"], ["v"], into="vs", max_items=300, hot=hot)
+    wanted = collect_in_parts(skewed, ["k"], ["v"], ["v"], into="vs", max_items=300)
+    columns = ["k", "part", "parts", "total", F.col("vs.v").alias("v")]
+    assert sorted(map(str, nested.select(*columns).collect())) == sorted(map(str, wanted.select(*columns).collect()))
+
+
 def test_best_rows_of_a_hot_group(spark, skewed):
     best = topk.top_per_group(skewed, ["k"], [F.col("v").desc()], 3)
     assert rows(best.where("k = 'hot'"), "v", "rank") == [(N - 9, 3), (N - 6, 2), (N - 3, 1)]
