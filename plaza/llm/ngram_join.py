@@ -30,7 +30,7 @@ GROUPS = 128  # at least, for a set; a power of two
 PER_GROUP = 8  # shingles in a group at most, on average: with more, random texts look alike
 FULL = 255  # a count of so many or more
 LEAF = 32  # points in a leaf of the tree
-BLOCK = 1024  # points of one shingle and size that meet in one task
+BLOCK = 1024  # points of one group and size that meet in one task
 LEADERS = 6  # points that each point is compared with first
 BATCH_BYTES = 4 << 20
 SEGMENT = 1 << 20  # bytes that are hashed at once; cut at a space
@@ -175,13 +175,20 @@ class CountTree:
 
     def join(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of points whose bounds allow a link, as positions in the arrays given, first below second in size."""
+        for x, y, _ in self.bounded_pairs(percent):
+            yield x, y
+
+    def bounded_pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """These pairs with the ratio of their bound to the overlap that they need."""
         for i, j in self._node_pairs(percent):
             a, b = slice(i * LEAF, (i + 1) * LEAF), slice(j * LEAF, (j + 1) * LEAF)
             most = np.minimum(self.counts[a, None], self.counts[None, b]).sum(axis=2)
-            x, y = np.nonzero(most >= _wanted(self.sizes[a, None], self.sizes[None, b], percent))
+            wanted = _wanted(self.sizes[a, None], self.sizes[None, b], percent)
+            x, y = np.nonzero(most >= wanted)
+            share = most[x, y] / wanted[x, y]
             x, y = x + i * LEAF, y + j * LEAF
             keep = (x < y) & (100 * self.sizes[x] >= percent * self.sizes[y])
-            yield self.order[x[keep]], self.order[y[keep]]
+            yield self.order[x[keep]], self.order[y[keep]], share[keep]
 
 
 def profiles(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -275,18 +282,20 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def tree_pairs(
-    shared: DataFrame, roots: DataFrame, points: DataFrame, scratch: Scratch, percent: int, first: bool = False
+    groups: DataFrame, roots: DataFrame, points: DataFrame, scratch: Scratch, percent: int, first: bool = False
 ) -> DataFrame:
-    """Pairs that share a shingle, are not yet connected, and may link by an R-tree join of their points.
+    """Pairs of one group that are not yet connected and may link by an R-tree join of their points.
 
-    With ``first`` each point comes with only the least of its partners in each group.
-    Points of a shingle are dealt by size, each to its own size class and as a guest to the one
+    ``groups`` has a row per point and group: the points of all shingles that have one point as their least are
+    a group, so a pair meets once per leader that it shares and not once per shingle.
+    With ``first`` each point comes with only the likeliest of its partners in each group, by the bound.
+    Points of a group are dealt by size, each to its own size class and as a guest to the one
     below; a class with more than BLOCK points is cut by a hash, and blocks meet pairwise in tasks
     of their own.
     """
-    rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component", "leader")
+    rooted = groups.join(roots, "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component")
     rooted = scratch.write(rooted, f"rooted-{first}")
-    # Shingles of one passage often have the same points: one of them is enough.
+    # Of groups with the same points one is enough.
     members = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"x{seed}") for seed in (1, 2)]
     open_ = rooted.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("many"), *members)
     open_ = open_.filter("r1 < r2").groupBy("many", "x1", "x2").agg(F.min("token").alias("token")).select("token")
@@ -356,15 +365,16 @@ def _group_pairs(group: dict[str, np.ndarray], percent: int, first: bool) -> tup
     if (root == root[0]).all() or not home.any():
         return none, none
     tree = CountTree(n, vectors(group["counts"]))
-    x, y = (np.concatenate([none, *side]) for side in zip((none, none), *tree.join(percent), strict=True))
+    x, y, share = (np.concatenate([none, *side]) for side in zip((none, none, none), *tree.bounded_pairs(percent), strict=True))
     # A point may be in a block of its own twice; both sides of a pair as guests meet in their own class.
     keep = (root[x] != root[y]) & (home[x] | home[y])
-    a, b = np.minimum(node[x[keep]], node[y[keep]]), np.maximum(node[x[keep]], node[y[keep]])
-    if first:
-        order = np.lexsort((a, b))
-        a, b = a[order], b[order]
-        own = np.append(True, b[1:] != b[:-1])[: len(b)]
-        a, b = a[own], b[own]
+    x, y, share = x[keep], y[keep], share[keep]
+    a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+    if first and len(a):
+        ends, pair = np.concatenate((a, b)), np.tile(np.arange(len(a)), 2)
+        order = np.lexsort((pair, -share[pair], ends))
+        best = np.unique(pair[order][np.append(True, np.diff(ends[order]) != 0)])
+        a, b = a[best], b[best]
     return a, b
 
 
@@ -401,6 +411,9 @@ def jaccard_components(
     best = led.withColumn("place", place).filter(F.col("place") <= LEADERS)
     stars = best.select(F.col("leader").alias("a"), F.col("node").alias("b"))
     stars = scratch.write(bounded(stars, points, percent), "stars")
+    # Any pair that shares a shingle shares the shingle's leader.
+    groups = scratch.write(shared.select("node", F.col("leader").alias("token")).distinct(), "groups")
+    scratch.drop("shared")
     ends = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
     sets = scratch.write(sets_of(docs, points, ends, id_col, text_col), "star-sets")
     spark.conf.set(ROWS, "64")  # a row holds two whole sets
@@ -411,7 +424,7 @@ def jaccard_components(
     label = "star-links"
     for first in (True, False):
         roots = scratch.write(connected_components(links), "roots")
-        more = scratch.write(tree_pairs(shared, roots, points, scratch, percent, first), "tree-pairs")
+        more = scratch.write(tree_pairs(groups, roots, points, scratch, percent, first), "tree-pairs")
         scratch.drop(f"rooted-{first}", f"tree-rows-{first}", "roots")
         ends = more.select(F.col("a").alias("node")).union(more.select("b")).distinct()
         sets = scratch.write(sets_of(docs, points, ends, id_col, text_col), "tree-sets")
@@ -420,7 +433,7 @@ def jaccard_components(
         small_batches(spark)
         scratch.drop("tree-sets", "tree-pairs", label)
         label = f"links-{first}"
-    scratch.drop("shared", "points")
+    scratch.drop("groups", "points")
 
     found = connected_components(links)
     rooted = members.join(found, "node", "left").withColumn("root", F.coalesce("component", "node"))

@@ -206,3 +206,36 @@ def test_embeddings_agree_with_all_pairs(spark, monkeypatch, block, piece):
     found = embedding_join.near_duplicates(frame).collect()
     assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in found), key=str) == plain_vectors(rows, 0.93)
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found if r["vec_id"] is not None)
+
+
+def test_a_large_group_of_near_copies_makes_few_pairs(spark, docs, monkeypatch):
+    """2000 texts with one different word each at either end link in one group: far fewer pairs than n squared meet."""
+    made = []
+    whole = ngram_join.verified
+
+    def counted(pairs, sets, percent):
+        made.append(pairs.count())
+        return whole(pairs, sets, percent)
+
+    monkeypatch.setattr(ngram_join, "verified", counted)
+    common = " ".join(f"c{k}" for k in range(80))
+    frame = docs(*((k, f"a{k} {common} b{k}") for k in range(2000)))
+    found = ngram_join.jaccard_components(frame).collect()
+    assert {r["component_id"] for r in found} == {0} and len(found) == 2000
+    assert sum(made) <= 2 * 2000 * ngram_join.LEADERS
+
+
+def test_texts_with_one_passage_that_do_not_link_are_not_all_compared(spark, docs, monkeypatch):
+    made = []
+    whole = ngram_join.verified
+
+    def counted(pairs, sets, percent):
+        made.append(pairs.count())
+        return whole(pairs, sets, percent)
+
+    monkeypatch.setattr(ngram_join, "verified", counted)
+    passage = " ".join(f"p{k}" for k in range(60))
+    frame = docs(*((k, f"{passage} " + " ".join(f"w{k}x{j}" for j in range(90))) for k in range(600)))
+    found = ngram_join.jaccard_components(frame).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in found)
+    assert sum(made) <= 600 * ngram_join.LEADERS
