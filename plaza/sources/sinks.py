@@ -15,8 +15,9 @@ _PREFIX = {"posts": "raw", "comments": "comments"}
 
 def _envelopes(items: DataFrame, payload: str, order: Sequence[str], date: str, max_items: int) -> DataFrame:
     fields = [name for name in items.columns if name not in order or name == "id"]
+    # A community of several files is cut by ranges, so that different tasks write them.
     grouped = collect_in_parts(
-        items, ["subreddit"], fields, [*order, "id"], into=payload, max_items=max_items
+        items, ["subreddit"], fields, [*order, "id"], into=payload, max_items=max_items, hot=max_items
     )
     return grouped.select(
         F.col("subreddit").alias("community"),
