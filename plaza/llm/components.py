@@ -39,5 +39,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if state == before:
             break
         before = state
+    else:
+        raise RuntimeError("the components still change after 199 rounds")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
