@@ -905,6 +905,17 @@ said AS (
 ORACLES["medallion_of_one_batch"] = _with(*SNAPSHOTS) + """
 SELECT ingest_date AS _ingest_date, count(DISTINCT id) AS posts FROM latest GROUP BY ALL"""
 
+ORACLES["batch_scope_gold_weeks"] = _with(*SNAPSHOTS) + """
+, clean AS (
+  SELECT * FROM latest WHERE author <> '[deleted]' AND title IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY ingest_date, id ORDER BY community DESC, file_name DESC, position DESC) = 1),
+weeks AS (
+  SELECT strftime(date_trunc('week', to_timestamp(created_utc) AT TIME ZONE 'UTC'), '%Y-%m-%d') AS week_start, subreddit, count(*) AS post_count,
+    CAST(sum(score) AS BIGINT) AS sum_score, CAST(sum(num_comments) AS BIGINT) AS sum_num_comments,
+    avg(score) AS avg_score, avg(num_comments) AS avg_comments_per_post, ingest_date
+  FROM clean GROUP BY ALL)
+SELECT * FROM weeks QUALIFY row_number() OVER (PARTITION BY week_start, subreddit ORDER BY ingest_date DESC) = 1"""
+
 ORACLES["streamed_silver_posts"] = _with(SNAPSHOT_POSTS, SNAPSHOT_COMMENTS, WRITTEN, _STREAMED) + """
 SELECT id, subreddit, title, author, score, num_comments, created_utc, ingest_date FROM streamed"""
 

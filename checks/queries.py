@@ -998,6 +998,18 @@ def medallion_of_one_batch(spark, sf_dir):
     return made.open("bronze_posts").groupBy("_ingest_date").agg(F.count(F.lit(1)).alias("posts"))
 
 
+@query
+def batch_scope_gold_weeks(spark, sf_dir):
+    """Gold rows of three runs, each from its batch alone; a later batch replaces a week of a community."""
+    made = _new_tables(spark, "batch-gold")
+    posts = b.snapshot_posts(spark, sf_dir)
+    for date in b.RUNS:
+        rows = dedupe.dedupe_latest_snapshot(posts.where(F.col("ingest_date") == date))
+        run_medallion(made, rows, ingest_date=date, scope="batch")
+    return made.open("gold_subreddit_week").select(
+        "week_start", "subreddit", "post_count", "sum_score", "sum_num_comments", "avg_score", "avg_comments_per_post", "ingest_date")
+
+
 def _streamed(spark, sf_dir) -> Tables:
     """The snapshot files fed through the medallion by a stream, some files per batch."""
     root = b.snapshot_root(spark, sf_dir)
