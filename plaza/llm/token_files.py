@@ -5,36 +5,39 @@ which sum to 2**scale and are shared by all blocks. ``blocks`` has one row per b
 documents: their ids and lengths, the place of the block, and the coded ids. A block is coded in
 LANES interleaved streams, token i in stream i % LANES; ``states`` and ``places`` hold the streams'
 states and the place in ``words`` at every CHECK-th row of tokens, so decoding can begin at any of
-them; ``ids_crc32`` checks the block and ``table_crc32`` that it goes with the table.
+them, and ``check_crc32`` the checksum of the ids from each to the next; ``ids_crc32`` checks the
+block and ``table_crc32`` that it goes with the table.
 """
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plaza.llm.common import pieces, small_batches
+from plaza.llm.common import ROWS, Scratch, pieces, small_batches
 from plaza.llm.tokens import encoder, tokenizer_file
-from plaza.session import stage
 
 SCALE = 20  # frequencies sum to 2**SCALE
-LANES = 1024
-CHECK = 256  # rows of LANES tokens between checkpoints
+LANES = 2048
+CHECK = 128  # rows of LANES tokens between checkpoints
 BLOCK = 1 << 20  # tokens after which a block ends with its document
-LOW = np.uint64(1 << 31)  # states stay in [2**31, 2**63), words of 32 bits go out and in
+# States stay in [2**20, 2**52), so that doubles hold them and quotients exactly; words of 32 bits go out and in.
+LOW, WORD = 2.0**20, 2.0**32
 BATCH_BYTES = 4 << 20
+BLOCK_ROWS = "8"  # blocks in an Arrow batch
 END = 2
 
+RAW_SCHEMA = "part int, block int, start_in_part long, n_tokens long, doc_ids array<{id}>, lengths array<long>, ids binary, counts array<long>"
 BLOCK_SCHEMA = (
     "part int, block int, start_in_part long, n_tokens long, doc_ids array<{id}>, lengths array<long>, "
-    "words binary, states binary, places array<long>, ids_crc32 long, table_crc32 long"
+    "words binary, states binary, places array<long>, check_crc32 array<long>, ids_crc32 long, table_crc32 long"
 )
 
 
@@ -61,66 +64,72 @@ def quantised(counts: np.ndarray, scale: int = SCALE) -> np.ndarray:
 
 
 class Coder:
-    """Codes and decodes arrays of ids with one frequency table."""
+    """Codes and decodes arrays of ids with one frequency table, all streams of a row at once."""
 
     def __init__(self, freq: np.ndarray, scale: int = SCALE):
-        self.scale, self.mask = np.uint64(scale), np.uint64((1 << scale) - 1)
-        self.freq = freq.astype(np.uint64)
-        self.begin = np.concatenate(([0], np.cumsum(freq)[:-1])).astype(np.uint64)
-        self.most = self.freq << np.uint64(63 - scale)
-        self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint32), freq)
+        self.size = float(1 << scale)
+        self.freq = freq.astype(np.float64)
+        self.begin = np.concatenate(([0], np.cumsum(freq)[:-1])).astype(np.float64)
+        self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint16 if len(freq) <= 1 << 16 else np.uint32), freq)
         self.crc = zlib.crc32(freq.astype("<u8").tobytes())
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, bytes, list[int]]:
         """(words, states, places): states and places are those a decoder has at each checkpoint."""
-        rows = -(-len(ids) // LANES)
-        x = np.full(LANES, LOW, np.uint64)
+        x = np.full(LANES, LOW)
         out: list[np.ndarray] = []
         states, places, written = [], [], 0
-        for row in range(rows - 1, -1, -1):
-            own = ids[row * LANES : (row + 1) * LANES]
-            now, freq = x[: len(own)], self.freq[own]
-            full = now >= self.most[own]
-            words = now[full].astype("<u4")
-            out.append(words)
-            written += len(words)
-            now = np.where(full, now >> np.uint64(32), now)
-            times = now // freq
-            x[: len(own)] = (times << self.scale) + (now - times * freq) + self.begin[own]
-            if row % CHECK == 0:
-                states.append(x.astype("<u8").tobytes())
-                places.append(written)
+        span = LANES * CHECK
+        for first in range((len(ids) - 1) // span * span, -1, -span):
+            part = ids[first : first + span]
+            freqs, begins = self.freq[part], self.begin[part]
+            most, gain = freqs * (WORD * LOW / self.size), self.size - freqs
+            for at in range((len(part) - 1) // LANES * LANES, -1, -LANES):
+                row = slice(at, at + LANES)
+                now = x[: len(freqs[row])]
+                full = np.flatnonzero(now >= most[row])
+                over = now[full]
+                high = np.floor(over * (1 / WORD))
+                out.append((over - high * WORD).astype("<u4"))
+                written += len(full)
+                now[full] = high
+                now += np.floor(now / freqs[row]) * gain[row] + begins[row]
+            states.append(x.astype("<u8").tobytes())
+            places.append(written)
         # The decoder reads backwards: row by row from the last one written.
         data = np.concatenate(out[::-1]).tobytes() if out else b""
         return data, b"".join(states[::-1]), [written - p for p in places[::-1]]
 
     def decode(self, words: bytes, states: bytes, places: list[int], n: int, segment: int | None = None) -> np.ndarray:
-        """All ids, or those of one checkpoint's segment."""
+        """All ids, or those from one checkpoint to the next."""
         rows = -(-n // LANES)
         first, last = (0, rows) if segment is None else (segment * CHECK, min(rows, (segment + 1) * CHECK))
         found = np.empty(max(0, min(n, last * LANES) - first * LANES), np.uint32)
         if not len(found):
             return found
         start = first // CHECK
-        x = np.frombuffer(states, "<u8")[start * LANES : (start + 1) * LANES].astype(np.uint64)
+        x = np.frombuffer(states, "<u8")[start * LANES : (start + 1) * LANES].astype(np.float64)
         data, place = np.frombuffer(words, "<u4"), places[start]
         for row in range(first, last):
-            width = min(LANES, n - row * LANES)
-            now = x[:width]
-            slot = now & self.mask
-            own = self.symbol[slot]
-            found[(row - first) * LANES : (row - first) * LANES + width] = own
-            now = self.freq[own] * (now >> self.scale) + slot - self.begin[own]
-            empty = now < LOW
-            many = int(np.count_nonzero(empty))
-            now[empty] = (now[empty] << np.uint64(32)) | data[place : place + many]
-            place += many
-            x[:width] = now
+            now = x[: min(LANES, n - row * LANES)]
+            high = np.floor(now * (1 / self.size))
+            slot = now - high * self.size
+            own = self.symbol[slot.astype(np.intp)].astype(np.intp)
+            found[(row - first) * LANES : (row - first) * LANES + len(now)] = own
+            now[:] = self.freq[own] * high + (slot - self.begin[own])
+            low = np.flatnonzero(now < LOW)
+            now[low] = now[low] * WORD + data[place : place + len(low)]
+            place += len(low)
         if segment is None and (x != LOW).any():
             raise ValueError("a block's states do not end where they began")
         return found
 
 
+@functools.lru_cache(maxsize=2)
+def _coder(freq: bytes) -> Coder:
+    """One coder for all tasks of a Python worker."""
+    return Coder(np.frombuffer(freq, "<i8"))
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
@@ -137,88 +146,96 @@ def write_token_files(
 ) -> None:
     """Encode every text, in ascending order of its id, into token files under ``path``.
 
-    NULL and empty texts are the end id alone. NULL ids come first; rows with one id are separate
-    documents, ordered by a hash of their text. An empty table gives files without blocks. Spark's
-    writer commits the files, so a lost task leaves nothing behind.
+    Texts are sorted by a range shuffle; a pass over them makes blocks of plain ids and counts the
+    ids of its task, and a second one codes the blocks where they lie. NULL and empty texts are the
+    end id alone. NULL ids come first; rows with one id are separate documents, ordered by a hash of
+    their text. An empty table gives files without blocks. Spark's writer commits the files, so a
+    lost task leaves nothing behind.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    before = spark.conf.get(ROWS)
     spec = tokenizer_file(tokenizer)
     id_ddl = docs.select(id_col).schema[0].dataType.simpleString()
-    coded_ddl = f"doc_id {id_ddl}, tie long, n_tokens long, ids binary"
-    coded_schema = _arrow(spark, coded_ddl)
+    raw_ddl, block_ddl = RAW_SCHEMA.format(id=id_ddl), BLOCK_SCHEMA.format(id=id_ddl)
+    raw_schema, block_schema = _arrow(spark, raw_ddl), _arrow(spark, block_ddl)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, press = encoder(spec), zstandard.ZstdCompressor(level=1)
-        for batch in pieces(batches, "text", BATCH_BYTES):
-            rows = []
-            for doc, tie, ids in zip(batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist(), encode.ids(batch.column("text").to_pylist()), strict=True):
-                ids = np.append(ids, np.array(end_id, ids.dtype)).astype("<u4")
-                # Low and high bytes apart compress better.
-                planes = np.ascontiguousarray(ids.view(np.uint8).reshape(-1, 4).T[: 2 if encode.dtype.itemsize == 2 else 4])
-                rows.append((doc, tie, len(ids), press.compress(planes.tobytes())))
-            yield _batch(rows, coded_schema)
-
-    given = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
-    coded = stage(given.mapInArrow(tokens, coded_ddl), "token-ids")
-
-    def unpacked(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        press = zstandard.ZstdDecompressor()
-        for n, data in zip(batch.column("n_tokens").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-            low, high, *more = np.frombuffer(press.decompress(data), np.uint8).reshape(-1, n).astype(np.uint32)
-            ids = (high << np.uint32(8)) | low
-            for k, plane in enumerate(more):
-                ids |= plane << np.uint32(16 + 8 * k)
-            yield ids
-
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1, np.int64)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = np.bincount(np.concatenate(list(unpacked(batch))))
-            if len(own) > len(counts):
-                counts = np.concatenate((counts, np.zeros(len(own) - len(counts), np.int64)))
-            counts[: len(own)] += own
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["token", "n"])
-
-    tallied = coded.select("n_tokens", "ids").mapInArrow(tally, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(1 + max([r["token"] for r in tallied], default=0), np.int64)  # at most one row per id of the vocabulary
-    for row in tallied:
-        counts[row["token"]] = row["n"]
-    freq = quantised(counts)
-    table = [(int(k), int(freq[k])) for k in np.flatnonzero(freq)]
-    spark.createDataFrame(table, "token long, freq long").coalesce(1).write.mode("overwrite").parquet(f"{path}/table")
-
-    block_schema = _arrow(spark, BLOCK_SCHEMA.format(id=id_ddl))
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part = Coder(freq), TaskContext.get().partitionId()
-        names, held, size, number, start = [], [], 0, 0, 0
+        encode, part = encoder(spec), TaskContext.get().partitionId()
+        end = np.array([end_id], encode.dtype)
+        counts = np.zeros(end_id + 1, np.int64)
+        names, held, lengths, size, number, start = [], [], [], 0, 0, 0
 
         def block() -> pa.RecordBatch:
+            nonlocal counts
             ids = np.concatenate(held)
-            words, states, places = coder.encode(ids)
-            row = (part, number, start, size, names, [len(x) for x in held], words, states, places, zlib.crc32(ids.tobytes()), coder.crc)
-            return _batch([row], block_schema)
+            own = np.bincount(ids, minlength=len(counts))
+            own[: len(counts)] += counts
+            counts = own
+            return _batch([(part, number, start, size, names, lengths, ids.tobytes(), None)], raw_schema)
 
-        for batch in batches:
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), unpacked(batch), strict=True):
+        for batch in pieces(batches, "text", BATCH_BYTES):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode.ids(batch.column("text").to_pylist()), strict=True):
                 names.append(doc)
-                held.append(ids)
-                size += len(ids)
+                held += [ids, end]
+                lengths.append(len(ids) + 1)
+                size += len(ids) + 1
                 if size >= BLOCK:
                     yield block()
                     number, start = number + 1, start + size
-                    names, held, size = [], [], 0
+                    names, held, lengths, size = [], [], [], 0
         if held:
             yield block()
+        if counts.any():
+            yield _batch([(part, *[None] * 6, counts)], raw_schema)
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = coded.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    coded_blocks = ordered.mapInArrow(blocks, BLOCK_SCHEMA.format(id=id_ddl))
-    coded_blocks.write.mode("overwrite").option("compression", "none").parquet(f"{path}/blocks")
+    given = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
+    ordered = given.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    scratch = Scratch(spark)
+    try:
+        small_batches(spark)
+        raw = scratch.write(ordered.select("doc_id", "text").mapInArrow(tokens, raw_ddl), "token-ids")
+
+        each = raw.filter("counts is not null").select(F.posexplode("counts").alias("token", "n")).filter("n > 0")
+        tallied = each.groupBy("token").agg(F.sum("n").alias("n")).toArrow()  # at most one row per id of the vocabulary
+        token = tallied.column("token").to_numpy()
+        counts = np.zeros(1 + token.max(initial=0), np.int64)
+        counts[token] = tallied.column("n").to_numpy()
+        freq = quantised(counts)
+        seen = np.flatnonzero(freq)
+        table = pa.table({"token": pa.array(seen, pa.int64()), "freq": pa.array(freq[seen], pa.int64())})
+        spark.createDataFrame(table).coalesce(1).write.mode("overwrite").parquet(f"{path}/table")
+        shared = freq.astype("<i8").tobytes()
+
+        def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            coder, span = _coder(shared), 4 * LANES * CHECK
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    *place, data = batch.slice(k, 1).to_pylist()[0].values()
+                    ids = np.frombuffer(data, f"<u{len(data) // place[3]}")
+                    plain = memoryview(ids.astype("<u4")).cast("B")
+                    checks = [zlib.crc32(plain[at : at + span]) for at in range(0, len(plain), span)]
+                    yield _batch([(*place, *coder.encode(ids), checks, zlib.crc32(plain), coder.crc)], block_schema)
+
+        spark.conf.set(ROWS, BLOCK_ROWS)
+        coded = raw.filter("counts is null").drop("counts").mapInArrow(blocks, block_ddl)
+        coded.write.mode("overwrite").option("compression", "none").parquet(f"{path}/blocks")
+        scratch.drop("token-ids")
+    finally:
+        spark.conf.set(ROWS, before)
+
+
+def _stored(spark: SparkSession, path: str) -> tuple[bytes, DataFrame]:
+    """The frequency table, and the blocks with ``base``, the number of ids in all parts before theirs."""
+    table = spark.read.parquet(f"{path}/table").toArrow()  # one row per id of the vocabulary
+    token = table.column("token").to_numpy()
+    freq = np.zeros(1 + token.max(initial=0), "<i8")
+    freq[token] = table.column("freq").to_numpy()
+    stored = spark.read.parquet(f"{path}/blocks")
+    sums = stored.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return freq.tobytes(), stored.join(F.broadcast(bases), "part")  # one row per part of the files
 
 
 def read_token_files(spark: SparkSession, path: str, *, with_ids: bool = False) -> DataFrame:
@@ -227,35 +244,64 @@ def read_token_files(spark: SparkSession, path: str, *, with_ids: bool = False)
     ``start`` counts the ids of all documents before. Blocks are decoded independently; where a part
     of the files begins is a running sum over one row per part.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")  # a row is a block
-    freq = np.zeros(1, np.int64)
-    if table := spark.read.parquet(f"{path}/table").collect():  # one row per id of the vocabulary
-        freq = np.zeros(1 + max(r["token"] for r in table), np.int64)
-        for row in table:
-            freq[row["token"]] = row["freq"]
-    stored = spark.read.parquet(f"{path}/blocks")
-    sums = stored.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    placed = stored.join(F.broadcast(bases), "part")  # one row per part of the files
-    id_ddl = stored.schema["doc_ids"].dataType.elementType.simpleString()
+    spark.conf.set(ROWS, BLOCK_ROWS)  # a row is a block, and the frame is evaluated later
+    shared, placed = _stored(spark, path)
+    id_ddl = placed.schema["doc_ids"].dataType.elementType.simpleString()
     ddl = f"doc_id {id_ddl}, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
     schema = _arrow(spark, ddl)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = None
+        coder = _coder(shared)
         for batch in batches:
-            for block in batch.to_pylist():
-                coder = coder or Coder(freq)
+            for k in range(batch.num_rows):
+                block = batch.slice(k, 1).to_pylist()[0]
                 ids = coder.decode(block["words"], block["states"], block["places"], block["n_tokens"]).astype("<u4")
-                if coder.crc != block["table_crc32"] or zlib.crc32(ids.tobytes()) != block["ids_crc32"]:
+                plain = memoryview(ids).cast("B")
+                if coder.crc != block["table_crc32"] or zlib.crc32(plain) != block["ids_crc32"]:
                     raise ValueError(f"block {block['block']} of part {block['part']} is damaged")
-                rows, at = [], 0
+                rows, at, base = [], 0, block["base"] + block["start_in_part"]
                 for doc, n in zip(block["doc_ids"], block["lengths"], strict=True):
-                    own = ids[at : at + n].tobytes()
-                    rows.append((doc, block["base"] + block["start_in_part"] + at, n, zlib.crc32(own), *([own] if with_ids else [])))
+                    own = plain[4 * at : 4 * (at + n)]
+                    rows.append((doc, base + at, n, zlib.crc32(own), *([bytes(own)] if with_ids else [])))
                     at += n
                 yield _batch(rows, schema)
 
     used = ("part", "block", "base", "start_in_part", "n_tokens", "doc_ids", "lengths", "words", "states", "places", "ids_crc32", "table_crc32")
     return placed.select(*used).mapInArrow(decode, ddl)
+
+
+def read_segments(spark: SparkSession, path: str, first: int = 0, last: int | None = None) -> DataFrame:
+    """(start, ids, task) per stretch of ids between two checkpoints that meets the places from ``first`` up to ``last``.
+
+    ``start`` counts the ids before in all files, ``ids`` are little-endian unsigned 32-bit integers,
+    and ``task`` is the partition that decoded them. Stretches of one block are cut out by Spark and
+    dealt to different tasks, which begin at the stored states; other stretches are not decoded. One
+    that fails its checksum is an error.
+    """
+    spark.conf.set(ROWS, BLOCK_ROWS)
+    shared, placed = _stored(spark, path)
+    span, lanes = LANES * CHECK, LANES
+    begin = F.col("base") + F.col("start_in_part") + F.col("k") * span
+    many = F.least(F.lit(span), F.col("n_tokens") - F.col("k") * span)
+    till = F.coalesce(F.get("places", F.col("k") + 1), F.octet_length("words") / 4).cast("int")
+    cut = placed.select("*", F.posexplode("places").alias("k", "place")).select(
+        begin.alias("start"), many.alias("n"), "table_crc32", F.get("check_crc32", F.col("k")).alias("crc32"),
+        F.substring("words", F.col("place").cast("int") * 4 + 1, (till - F.col("place").cast("int")) * 4).alias("words"),
+        F.substring("states", F.col("k") * (8 * lanes) + 1, F.lit(8 * lanes)).alias("states"),
+    ).filter(F.col("start") + F.col("n") > first)
+    if last is not None:
+        cut = cut.filter(F.col("start") < last)
+    ddl = "start long, ids binary, task int"
+    schema = _arrow(spark, ddl)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, task = _coder(shared), TaskContext.get().partitionId()
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = coder.decode(row["words"], row["states"], [0], row["n"], 0).astype("<u4").tobytes()
+                if coder.crc != row["table_crc32"] or zlib.crc32(ids) != row["crc32"]:
+                    raise ValueError(f"the stretch at {row['start']} is damaged")
+                yield _batch([(row["start"], ids, task)], schema)
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return cut.repartition(parts, "start").mapInArrow(decode, ddl)

@@ -140,6 +140,16 @@ def test_coder_round_trip_and_checkpoints(monkeypatch):
             assert coder.decode(words, states, places, n, segment).tolist() == ids[segment * 32 : (segment + 1) * 32].tolist()
 
 
+@pytest.mark.parametrize("share", [0, 3, 1 << 19])
+def test_coder_with_rare_and_sole_ids(share):
+    """States at the full scale: one id alone, ids of frequency 1, and ids that fill half of the table."""
+    freq = np.array([(1 << 20) - share, *[1] * min(share, 3), *([share - 3] if share > 3 else [])])
+    ids = np.random.default_rng(share).integers(0, len(freq), 300_001).astype(np.uint16)
+    coder = token_files.Coder(freq)
+    words, states, places = coder.encode(ids)
+    assert (coder.decode(words, states, places, len(ids)) == ids).all()
+
+
 def test_quantised_frequencies():
     counts = np.array([0, 1, 1, 10**9, 5])
     freq = token_files.quantised(counts, 8)
@@ -166,6 +176,24 @@ def test_token_files_round_trip(spark, docs, plain, tmp_path, monkeypatch, block
         end += r["n_tokens"]
 
 
+def test_stretches_of_one_block_are_decoded_by_several_tasks(spark, docs, plain, tmp_path):
+    path = str(tmp_path / "stretches")
+    span = token_files.LANES * token_files.CHECK
+    rows = [(1, "one text"), (2, " ".join(f"w{k % 977}" for k in range(span))), (3, "another")]
+    token_files.write_token_files(docs(*rows), PATH, path)
+    found = token_files.read_segments(spark, path).orderBy("start").collect()
+    wanted = [i for own in plain([t for _, t in rows]) for i in [*own, 2]]
+    assert np.concatenate([np.frombuffer(r["ids"], "<u4") for r in found]).tolist() == wanted
+    blocks = spark.read.parquet(f"{path}/blocks").collect()
+    longest = max(blocks, key=lambda r: r["n_tokens"])
+    assert len(longest["places"]) == -(-longest["n_tokens"] // span) > 1
+    assert len({r["task"] for r in found if len(r["ids"]) // 4 > 1000}) > 1
+    first, last = span + 40, span + 70
+    (few,) = token_files.read_segments(spark, path, first, last).collect()
+    own = np.frombuffer(few["ids"], "<u4")[first - few["start"] : last - few["start"]]
+    assert own.tolist() == wanted[first:last]
+
+
 def test_token_files_of_nothing(spark, docs, tmp_path):
     token_files.write_token_files(docs(), PATH, str(tmp_path / "none"))
     assert token_files.read_token_files(spark, str(tmp_path / "none")).collect() == []
