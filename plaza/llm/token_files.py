@@ -32,9 +32,10 @@ BLOCK = 1 << 20  # tokens after which a block ends with its document
 LOW, WORD = 2.0**20, 2.0**32
 BATCH_BYTES = 4 << 20
 BLOCK_ROWS = "8"  # blocks in an Arrow batch
+CHUNK = 8192  # ids whose counts are summed as one row
 END = 2
 
-RAW_SCHEMA = "part int, block int, start_in_part long, n_tokens long, doc_ids array<{id}>, lengths array<long>, ids binary, counts array<long>"
+RAW_SCHEMA = "part int, block int, start_in_part long, n_tokens long, doc_ids array<{id}>, lengths array<long>, ids binary, counts array<binary>"
 BLOCK_SCHEMA = (
     "part int, block int, start_in_part long, n_tokens long, doc_ids array<{id}>, lengths array<long>, "
     "words binary, states binary, places array<long>, check_crc32 array<long>, ids_crc32 long, table_crc32 long"
@@ -186,7 +187,17 @@ def write_token_files(
         if held:
             yield block()
         if counts.any():
-            yield _batch([(part, *[None] * 6, counts)], raw_schema)
+            chunks = [counts[at : at + CHUNK].astype("<i8").tobytes() for at in range(0, len(counts), CHUNK)]
+            yield _batch([(part, *[None] * 6, chunks)], raw_schema)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                own = sums.setdefault(chunk, np.zeros(CHUNK, np.int64))
+                own[: len(data) // 8] += np.frombuffer(data, "<i8")
+        for chunk, own in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([own.tobytes()])], names=["chunk", "counts"])
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     given = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
@@ -196,11 +207,11 @@ def write_token_files(
         small_batches(spark)
         raw = scratch.write(ordered.select("doc_id", "text").mapInArrow(tokens, raw_ddl), "token-ids")
 
-        each = raw.filter("counts is not null").select(F.posexplode("counts").alias("token", "n")).filter("n > 0")
-        tallied = each.groupBy("token").agg(F.sum("n").alias("n")).toArrow()  # at most one row per id of the vocabulary
-        token = tallied.column("token").to_numpy()
-        counts = np.zeros(1 + token.max(initial=0), np.int64)
-        counts[token] = tallied.column("n").to_numpy()
+        each = raw.filter("counts is not null").select("part", F.posexplode("counts").alias("chunk", "counts"))
+        for keys in (["chunk", F.col("part") % 64], ["chunk"]):  # many tasks' counts of one chunk meet in two steps
+            each = each.repartition(*keys).select("chunk", "counts").mapInArrow(summed, "chunk int, counts binary")
+        totals = {r["chunk"]: np.frombuffer(r["counts"], "<i8") for r in each.collect()}  # as long as the vocabulary
+        counts = np.concatenate([totals[chunk] for chunk in sorted(totals)] or [np.zeros(1, np.int64)])
         freq = quantised(counts)
         seen = np.flatnonzero(freq)
         table = pa.table({"token": pa.array(seen, pa.int64()), "freq": pa.array(freq[seen], pa.int64())})
