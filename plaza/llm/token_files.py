@@ -212,6 +212,7 @@ def write_token_files(
             each = each.repartition(*keys).select("chunk", "counts").mapInArrow(summed, "chunk int, counts binary")
         totals = {r["chunk"]: np.frombuffer(r["counts"], "<i8") for r in each.collect()}  # as long as the vocabulary
         counts = np.concatenate([totals[chunk] for chunk in sorted(totals)] or [np.zeros(1, np.int64)])
+        counts = counts[: 1 + np.flatnonzero(counts).max(initial=0)]
         freq = quantised(counts)
         seen = np.flatnonzero(freq)
         table = pa.table({"token": pa.array(seen, pa.int64()), "freq": pa.array(freq[seen], pa.int64())})
