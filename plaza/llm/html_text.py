@@ -38,6 +38,8 @@ NOT_TEXT = frozenset(
     "head script style noscript template nav footer aside form button select datalist iframe object embed applet svg canvas audio "
     "video menu dialog textarea title map".split()
 )
+# Those of the elements that hold readable blocks: they lower a block's score.
+NAMED = frozenset("nav footer aside form menu dialog".split())
 NOT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 NOT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promoted promotion cookie cookies consent "
@@ -57,78 +59,114 @@ PUNCTUATION = re.compile(r"[,.;:!?…、。，；：！？]")
 SPACE = re.compile(r"\s+")
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     """A run of text in one block of the page."""
 
-    path: str
+    path: int
     text: str
-    article: bool
     linked: int  # characters inside links
-    suspects: tuple[int, ...] = ()  # the elements around it whose class or id names boilerplate
-    outside: tuple[int, ...] = ()  # those of them that hold the article or main element, too
+    parent: int  # number of the element around the block's own
+    article: int  # number of the outermost article or main element around it, or 0
+    suspect: int  # number of the innermost element around it whose class or id names boilerplate, or 0
+    named: bool  # whether an element or role around it names boilerplate
 
 
-def _boilerplate(name: str, attributes: str, inside_article: bool, words_count: bool = True) -> bool:
-    if name in NOT_TEXT or name == "header" and not inside_article:
-        return True
+@dataclass(slots=True)
+class Suspect:
+    """An element whose class or id names boilerplate."""
+
+    around: int  # the suspect around it, or 0
+    inside: bool  # whether it stands in an article
+    size: int = 0  # unlinked characters in it
+    article: bool = False  # whether it holds text of an article
+
+
+@dataclass(slots=True)
+class Open:
+    """An element that has not ended."""
+
+    name: str
+    hidden: bool
+    path: int
+    number: int
+    article: int
+    suspect: int
+    named: bool
+
+
+ROOT = Open("", False, 0, 0, 0, 0, False)
+
+
+def _boilerplate(name: str, attributes: str, inside_article: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is not shown, and whether its name or role, or its class or id, names boilerplate."""
+    hidden, named, worded = name in NOT_TEXT and name not in NAMED, name in NAMED or name == "header" and not inside_article, False
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower() or name in ("html", "body"):
-        return False
+        return hidden, named, worded
     for match in ATTRIBUTE.finditer(attributes):
         key = (match[1] or match[5]).lower()
         value = (match[2] or match[3] or match[4] or "").lower()
-        if words_count and key in ("class", "id") and name not in ("article", "main"):
+        if key in ("class", "id") and name not in ("article", "main"):
             words = WORD.findall(value)
-            if not (NOT_WORDS if OF_ARTICLE.isdisjoint(words) else NOT_WORDS - EITHER).isdisjoint(words):
-                return True
-        if key == "role" and value.strip() in NOT_ROLES or key == "aria-hidden" and value == "true":
-            return True
-        if key == "hidden" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
-
-
-def text_nodes(page: str) -> list[Node]:
-    """The blocks of a page outside of boilerplate elements, with their paths from the root."""
-    stack: list[tuple[str, bool, str]] = []  # element, whether it or one around it is boilerplate, name on the path
+            worded |= not (NOT_WORDS if OF_ARTICLE.isdisjoint(words) else NOT_WORDS - EITHER).isdisjoint(words)
+        named |= key == "role" and value.strip() in NOT_ROLES
+        hidden |= key == "hidden" or key == "aria-hidden" and value == "true"
+        hidden |= key == "style" and bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
+    return hidden, named, worded
+
+
+def text_nodes(page: str) -> tuple[list[Node], list[Suspect]]:
+    """The shown blocks of a page with the numbers of their paths from the root, and the elements that class words suspect.
+
+    Every open element carries what holds for all inside it, so the time grows with the page and not with its depth.
+    """
+    stack: list[Open] = [ROOT]
+    many: Counter[str] = Counter()  # open elements by name
     nodes: list[Node] = []
+    suspects = [Suspect(0, False)]
+    paths: dict[tuple[int, str], int] = {}
     held: list[str] = []
-    linked = links = 0
+    linked = number = 0
     lower = None
-    suspects: list[tuple[int, int]] = []  # place in the stack and number of the open elements that class words name
-    number = 0
 
     def close_block() -> None:
         nonlocal linked
         text = SPACE.sub(" ", html.unescape("".join(held))).strip()
         held.clear()
-        if text and not (stack and stack[-1][1]):
-            names = [name for name, _, _ in stack]
-            first = next((k for k, n in enumerate(names) if n in ("article", "main")), 0)
-            outside = tuple(n for k, n in suspects if k < first)
-            path = "/".join(shown for name, _, shown in stack if name in BLOCKS)
-            nodes.append(Node(path, text, "article" in names or "main" in names, min(linked, len(text)), tuple(n for _, n in suspects), outside))
+        top = stack[-1]
+        if text and not top.hidden:
+            place = len(stack) - 1
+            while place > 0 and stack[place].name not in BLOCKS:
+                place -= 1
+            parent = stack[max(0, place - 1)].number
+            nodes.append(Node(top.path, text, min(linked, len(text)), parent, top.article, top.suspect, top.named))
         linked = 0
 
     def hold(text: str) -> None:
         nonlocal linked
         held.append(text)
-        linked += len(text) if links else 0
+        linked += len(text) if many["a"] else 0
 
     def pop_to(place: int) -> None:
-        nonlocal links
-        if any(name in BLOCKS for name, _, _ in stack[place:]):
+        if any(open_.name in BLOCKS for open_ in stack[place:]):
             close_block()
-        links -= sum(name == "a" for name, _, _ in stack[place:])
+        many.subtract(open_.name for open_ in stack[place:])
         del stack[place:]
-        while suspects and suspects[-1][0] >= place:
-            suspects.pop()
+
+    def end_open(name: str, limits: tuple[str, ...] | frozenset[str]) -> None:
+        """End the innermost open element of a name, unless one of ``limits`` stands before it."""
+        for place in range(len(stack) - 1, 0, -1) if many[name] else ():
+            if stack[place].name == name:
+                pop_to(place)
+                break
+            if stack[place].name in limits:
+                break
 
     at = 0
     while at < len(page):
         start = page.find("<", at)
         match = TAG.match(page, start) if start >= 0 else None
-        shown = not (stack and stack[-1][1])
+        shown = not stack[-1].hidden
         if match is None:
             end = len(page) if start < 0 else start + 1
             if shown:
@@ -143,31 +181,17 @@ def text_nodes(page: str) -> list[Node]:
             continue
         name, closing, attributes = name.lower(), match[1] or match[4], match[3] or match[6] or ""
         if closing:
-            for place in range(len(stack) - 1, -1, -1):
-                if stack[place][0] == name:
-                    pop_to(place)
-                    break
-                if name not in BLOCKS and stack[place][0] in BLOCKS and name not in NOT_TEXT:
-                    break  # an inline element does not reach out of its block
+            # An inline element does not reach out of its block.
+            end_open(name, () if name in BLOCKS or name in NOT_TEXT else BLOCKS)
             continue
         if name == "br":
             if shown:
                 held.append(" ")
             continue
         if name in ENDS_P:
-            for place in range(len(stack) - 1, -1, -1):
-                if stack[place][0] == "p":
-                    pop_to(place)
-                    break
-                if stack[place][0] in BLOCKS:
-                    break
+            end_open("p", BLOCKS)
         for other in CLOSES.get(name, ()):
-            for place in range(len(stack) - 1, -1, -1):
-                if stack[place][0] == other:
-                    pop_to(place)
-                    break
-                if stack[place][0] in LIMITS.get(name, ()):
-                    break
+            end_open(other, LIMITS.get(name, ()))
         if name in BLOCKS:
             close_block()
         if name in VOID:
@@ -179,46 +203,57 @@ def text_nodes(page: str) -> list[Node]:
             continue
         if attributes.rstrip().endswith("/") and name in ("svg", "path"):
             continue
-        within = any(n in ("article", "main") for n, _, _ in stack)
-        outer = bool(stack) and stack[-1][1]
-        if not outer and name in NOT_TEXT and held and name not in BLOCKS:
-            held.append(" ")
-        kind = CLASS.search(attributes) if attributes else None
-        links += name == "a"
-        drop = outer or _boilerplate(name, attributes, within)
-        if drop and not outer and name in BLOCKS and not _boilerplate(name, attributes, within, words_count=False):
-            drop, number = False, number + 1
-            suspects.append((len(stack), number))
-        stack.append((name, drop, f"{name}.{kind[1].lower()}" if kind else name))
+        around = stack[-1]
+        hidden, named, worded = _boilerplate(name, attributes, bool(around.article))
+        if name not in BLOCKS:  # parts of a line are shown or not
+            hidden, named, worded = hidden or named or worded, False, False
+            if hidden and not around.hidden and held and name in NOT_TEXT:
+                held.append(" ")
+        path, number = around.path, number + 1
+        if name in BLOCKS:
+            kind = CLASS.search(attributes) if attributes else None
+            path = paths.setdefault((around.path, f"{name}.{kind[1].lower()}" if kind else name), len(paths) + 1)
+        suspect, article = around.suspect, around.article
+        if worded and not around.hidden:
+            suspects.append(Suspect(suspect, bool(article)))
+            suspect = len(suspects) - 1
+        if name in ("article", "main") and not article:
+            article = number
+        stack.append(Open(name, around.hidden or hidden, path, number, article, suspect, around.named or named))
+        many[name] += 1
     close_block()
-    return _cleared(nodes) if number else nodes
+    return nodes, suspects
+
 
+def _lowered(nodes: list[Node], suspects: list[Suspect]) -> np.ndarray:
+    """Blocks whose surroundings name boilerplate.
 
-def _cleared(nodes: list[Node]) -> list[Node]:
-    """The blocks without those in suspect elements: one is cleared by most of the unlinked text, or by the page's only article."""
-    size, articles = Counter(), set()
-    for n in nodes:
-        for k in n.suspects:
-            size[k] += len(n.text) - n.linked
-        articles.update(n.suspects if n.article else ())
-    total = sum(len(n.text) - n.linked for n in nodes)
-    if any(n.article and not n.suspects for n in nodes):
-        return [n for n in nodes if not n.suspects]
-    # A suspect element inside an article holds none, and is judged by its text.
-    inner = {k for n in nodes if n.article for k in n.suspects if k not in n.outside}
-    cleared = {k for k, many in size.items() if 2 * many > total} | (articles - inner)
-    return [n for n in nodes if cleared.issuperset(n.suspects)]
+    Class words are weak signs: a suspect element is cleared by most of the unlinked text, or if it
+    holds the only article of the page.
+    """
+    plain = [n for n in nodes if not n.named]
+    for n in plain:
+        suspects[n.suspect].size += len(n.text) - n.linked
+        suspects[n.suspect].article |= bool(n.article)
+    for s in suspects[:0:-1]:
+        suspects[s.around].size += s.size
+        suspects[s.around].article |= s.article
+    total, free = suspects[0].size, any(n.article and not n.suspect for n in plain)
+    cleared = [True]
+    for s in suspects[1:]:
+        cleared.append(cleared[s.around] and not free and (2 * s.size > total or s.article and not s.inside))
+    return np.array([n.named or not cleared[n.suspect] for n in nodes])
 
 
 def path_scores(nodes: list[Node], smooth: float = 1.0) -> np.ndarray:
     """For each block the unlinked text and punctuation per node of its path, smoothed along the page and fused.
 
-    A block of links alone scores nothing, whatever stands next to it.
+    A block of links alone scores nothing, whatever stands next to it, unless an article holds it.
     """
     number = {path: k for k, path in enumerate(dict.fromkeys(n.path for n in nodes))}
     path = np.array([number[n.path] for n in nodes])
     whole = np.array([len(n.text) for n in nodes], float)
-    size = whole - np.array([n.linked for n in nodes], float)
+    size = whole - np.array([0 if n.article else n.linked for n in nodes], float)
     marks = np.array([len(PUNCTUATION.findall(n.text)) for n in nodes], float)
     many = np.bincount(path)
     text_ratio = (np.bincount(path, size) / many)[path]
@@ -233,23 +268,36 @@ def path_scores(nodes: list[Node], smooth: float = 1.0) -> np.ndarray:
     return smoothed(text_ratio) * (1 + smoothed(mark_ratio)) * (size / whole) ** 2
 
 
-def main_text(page: str | None, *, share: float = 0.1, trust: float = 20.0) -> str:
+def main_text(page: str | None, *, share: float = 0.1, trust: float = 20.0, doubt: float = 0.001) -> str:
     """The blocks whose path scores at least ``share`` of the mean over all text, joined by line breaks.
 
     Blocks inside an article or main element count ``trust`` times, as the page itself says what they
-    are. Without any block the text is empty.
+    are, and those that names call boilerplate ``doubt`` times. Blocks that no name speaks against
+    stay also if they are of an article with a block that stays, or, unless they are links alone,
+    between two that stay of one parent: short items and lines of a text. Without any block that no
+    name speaks against the text is empty.
     """
-    nodes = text_nodes(page or "")
+    nodes, suspects = text_nodes(page or "")
     if not nodes:
         return ""
-    inside = np.array([n.article for n in nodes])
-    scores = path_scores(nodes) * np.where(inside, trust, 1.0)
-    size = np.array([len(n.text) for n in nodes], float)
-    wanted = share * float((scores * size).sum() / size.sum()) / (trust if inside.any() else 1.0)
-    if inside.any():
-        wanted = max(wanted, share * float(scores[inside].mean()))
-        scores = np.where(inside, np.maximum(scores, wanted), scores)
-    return "\n".join(n.text for n, score in zip(nodes, scores, strict=True) if score >= wanted)
+    lowered = _lowered(nodes, suspects)
+    if lowered.all():
+        return ""
+    article = np.array([n.article for n in nodes])
+    scores = path_scores(nodes) * np.where(article > 0, trust, 1.0) * np.where(lowered, doubt, 1.0)
+    size = np.where(lowered, 0.0, [len(n.text) for n in nodes])
+    kept = (scores > 0) & (scores >= share * float((scores * size).sum() / size.sum()))
+    ends: dict[int, list[int]] = {}
+    for k in np.flatnonzero(kept & ~lowered).tolist():
+        ends.setdefault(nodes[k].parent, [k, k])[1] = k
+    depth = np.zeros(len(nodes) + 1, int)
+    for first, last in ends.values():
+        depth[first] += 1
+        depth[last + 1] -= 1
+    between = (np.cumsum(depth)[:-1] > 0) & np.array([n.linked < len(n.text) for n in nodes])
+    chosen = np.isin(article, article[kept & ~lowered & (article > 0)]) & (article > 0)
+    kept |= ~lowered & (between | chosen)
+    return "\n".join(n.text for n, stays in zip(nodes, kept.tolist(), strict=True) if stays)
 
 
 def extract_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

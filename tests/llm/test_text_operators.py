@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -186,6 +187,60 @@ def test_class_words_of_a_wrapper_do_not_drop_the_article(names):
     assert html_text.main_text(f"<article>{text}</article>{comments}") == "Real text, and a lot of it, is here.\nMore, too."
 
 
+
+def planted_page(rng, with_article):
+    """(page, its main text): paragraphs, headings, lists, tables and code among menus, adverts, notices, comments and footers."""
+
+    def words(low, high):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(low, high)))
+
+    def sentences(low=20, high=70):
+        return f"{words(low, high)}, {words(5, 20)}. {words(5, 20)}."
+
+    blocks, body = [], []
+    for kind in ["p", *rng.choices(["p", "h2", "ul", "pre", "table", "quote"], [6, 2, 2, 1, 1, 1], k=rng.randint(4, 14)), "p", "p"]:
+        own = [words(1, 3) for _ in range(rng.randint(3, 25))] if kind == "ul" else [words(1, 4), words(1, 2)] if kind == "table" else [words(2, 6)] if kind in ("h2", "pre") else [sentences()]
+        blocks += own
+        inner = "".join(f"<li>{w}</li>" for w in own) if kind == "ul" else "<tr>" + "".join(f"<td>{w}" for w in own) + "</tr>" if kind == "table" else own[0]
+        body.append(f"<blockquote><p>{inner}</p></blockquote>" if kind == "quote" else f"<{kind}>{inner}</{kind}>")
+    links = "<ul>" + "".join(f"<li><a href='/'>{words(1, 3)}</a></li>" for _ in range(rng.randint(2, 30))) + "</ul>"
+    before = [f"<nav>{links}</nav>", f"<div class='menu'>{links}</div>", f"<div class='cookie-notice'><p>{sentences(5, 20)}</p></div>", f"<div>{links}</div>", "<style>p{}</style>"]
+    after = [f"<div class='comments'>{''.join(f'<p>{sentences()}</p>' for _ in range(rng.randint(1, 3)))}</div>", f"<footer><p>{sentences(5, 30)}</p></footer>",
+             f"<aside><p>{sentences()}</p></aside>", f"<form><p>{words(2, 5)}</p><input><button>{words(1, 2)}</button></form>", f"<script>{sentences()}</script>"]
+    name = "article" if with_article else "div"
+    page = "".join(rng.sample(before, 3)) + f"<{name}>{''.join(body)}</{name}>" + "".join(rng.sample(after, 3))
+    return f"<html><body>{page}</body></html>", "\n".join(blocks)
+
+
+@pytest.mark.parametrize("with_article", [True, False])
+def test_planted_texts_come_back_whole(with_article):
+    rng = random.Random(4)
+    for _ in range(150):
+        page, text = planted_page(rng, with_article)
+        assert html_text.main_text(page) == text
+
+
+def test_short_blocks_between_paragraphs_stay():
+    paragraphs = "".join(f"<p>{'some, words ' * 40}{k}.</p>" for k in range(10))
+    items = "<ul>" + "".join(f"<li>short item {k}</li>" for k in range(20)) + "</ul><pre>x = 1</pre><table><tr><td>a</td><td>b</td></tr></table>"
+    for page in (f"<body>{paragraphs}{items}{paragraphs}</body>", f"<body><div>{paragraphs}<div>{items}</div>{paragraphs}</div></body>"):
+        found = html_text.main_text(page).split("\n")
+        assert len(found) == 43 and found[10:30] == [f"short item {k}" for k in range(20)] and found[30:33] == ["x = 1", "a", "b"]
+
+
+def test_ratios_choose_between_articles():
+    text = "".join(f"<p>{'a long, and even longer, text ' * 30}{k}.</p>" for k in range(12))
+    teasers = "<div>" + "".join(f"<article><a href='/{k}'>Read</a></article>" for k in range(5)) + "</div>"
+    assert len(html_text.main_text(f"<body><article>{text}</article>{teasers}</body>").split("\n")) == 12
+
+
+def test_deeply_nested_elements_take_no_longer():
+    begun = time.process_time()
+    for inner in ("<div>", "<div class='ad'>", "<b>", "<div><p>", "</i><div>"):
+        html_text.main_text(inner * 40_000 + "text, at the bottom.")
+    assert html_text.main_text("<div>" * 40_000 + "text, at the bottom.") == "text, at the bottom."
+    assert time.process_time() - begun < 6
+
 # --- secrets ---
 
 
