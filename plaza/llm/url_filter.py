@@ -17,6 +17,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 # Query parameters that do not change what a url shows, as they only tell where a visitor came from.
 TRACKING = r"(^|&)(utm_[^=&]*|ref|fbclid|gclid)(=[^&]*)?(?=&|$)"
+UNREAD = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script|\z)"  # parts of a page that declare nothing
+DECIMAL, HEXADECIMAL = "^#([0-9]{1,7});", "^#[xX]([0-9a-fA-F]{1,6});"
+CLIMB, SCHEME = r"^((?:\.\.?/)+)", "^[A-Za-z][A-Za-z0-9+.-]*:"
 
 
 @dataclass(frozen=True)
@@ -67,9 +70,46 @@ def alias_key(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), path_of(url), F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
+def decoded(text: Column) -> Column:
+    """The text with ``&amp;`` and numeric character references decoded once; others stay as they are."""
+    def piece(part: Column, k: Column) -> Column:
+        digits, letters = F.regexp_extract(part, DECIMAL, 1), F.regexp_extract(part, HEXADECIMAL, 1)
+        code = F.when(digits != "", digits.cast("long")).when(letters != "", F.conv(letters, 16, 10).cast("long"))
+        known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        letter = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return (
+            F.when(k == 0, part).when(known, F.concat(letter, F.regexp_replace(part, "^[^;]*;", "")))
+            .when(part.startswith("amp;"), F.concat(F.lit("&"), F.substring(part, 5, 1 << 30))).otherwise(F.concat(F.lit("&"), part))
+        )
+
+    return F.array_join(F.transform(F.split(text, "&"), piece), "")
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """A target as an absolute url: from the page's scheme, root, folder or path; NULL if it is empty or a fragment."""
+    scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
+    root = F.concat(scheme, F.lit("://"), host_of(url))
+    climbing = F.regexp_extract(target, CLIMB, 1)
+    ups = F.length(F.replace(climbing, F.lit("../"), F.lit("..//"))) - F.length(climbing)
+    folders = F.filter(F.split(F.regexp_replace(path_of(url), "[^/]*$", ""), "/"), lambda name: name != "")
+    kept = F.slice(folders, F.lit(1), F.greatest(F.size(folders) - ups, F.lit(0)))
+    below = F.concat(F.array_join(F.transform(kept, lambda name: F.concat(name, F.lit("/"))), ""), F.regexp_replace(target, CLIMB, ""))
+    return (
+        F.when((target == "") | target.startswith("#"), F.lit(None).cast("string"))
+        .when(target.rlike(SCHEME), target)
+        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+        .when(target.startswith("/"), F.concat(root, target))
+        .when(target.startswith("?"), F.concat(root, path_of(url), target))
+        .otherwise(F.concat(root, F.lit("/"), below))
+    )
+
+
 def declared_targets(url: Column, html: Column) -> Column:
-    """The urls that a page's canonical link and refresh redirect name, absolute or from the root."""
-    tags = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), 0)
+    """The urls that a page's canonical link and refresh redirect name outside of comments and scripts, made absolute.
+
+    Empty path parts go where a target climbs; a base element is not heeded.
+    """
+    tags = F.regexp_extract_all(F.regexp_replace(F.coalesce(html, F.lit("")), UNREAD, ""), F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), 0)
     canonical = F.transform(
         F.filter(tags, lambda t: t.rlike(r"""(?i)\brel\s*=\s*["']?canonical\b""")),
         lambda t: F.regexp_extract(t, r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", 1),
@@ -78,15 +118,7 @@ def declared_targets(url: Column, html: Column) -> Column:
         F.filter(tags, lambda t: t.rlike(r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b""")),
         lambda t: F.regexp_extract(t, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1),
     )
-    scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
-    return F.filter(
-        F.transform(
-            F.concat(canonical, refresh),
-            lambda t: F.when(t.startswith("//"), F.concat(scheme, F.lit(":"), t))
-            .when(t.startswith("/"), F.concat(scheme, F.lit("://"), host_of(url), t)).otherwise(t),
-        ),
-        lambda t: F.instr(t, "://") > 0,
-    )
+    return F.filter(F.transform(F.concat(canonical, refresh), lambda t: resolved(decoded(t), url)), lambda t: F.instr(t, "://") > 0)
 
 
 def filter_urls(
@@ -98,8 +130,8 @@ def filter_urls(
     A url's own rule decides. Otherwise a page is blocked if the urls that redirects (columns source
     and target) and canonical links connect it to, over any number of steps, hold a blocked one and
     none that a rule allows: an explicit allow takes precedence. All else is allowed. Pages without
-    a url, or whose url has no ``://``, have no host, path or aliases. Links that are NULL, relative to
-    a folder or name their own page connect nothing. Repeated rows are judged alike.
+    a url, or whose url has no ``://``, have no host, path or aliases. Links that are NULL, empty
+    or name their own page connect nothing. Repeated rows are judged alike.
     """
     spark = pages.sparkSession
     scratch = Scratch(spark)
@@ -138,14 +170,28 @@ p AS (
   SELECT row_number() OVER () AS r, page_id, {_key_sql('url')} AS k, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
     list_concat(
-      list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?i)<(?:link|meta)\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\brel\s*=\s*["'']?canonical\b')),
+      list_transform(list_filter(regexp_extract_all(regexp_replace(coalesce(html, ''), '{UNREAD}', '', 'g'), '(?i)<(?:link|meta)\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\brel\s*=\s*["'']?canonical\b')),
         lambda t: regexp_extract(t, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
-      list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?i)<(?:link|meta)\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b')),
+      list_transform(list_filter(regexp_extract_all(regexp_replace(coalesce(html, ''), '{UNREAD}', '', 'g'), '(?i)<(?:link|meta)\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b')),
         lambda t: regexp_extract(t, '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1))) AS targets, url
   FROM pages),
+given AS (
+  SELECT k AS a, regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme, host, path, unnest(list_transform(targets, lambda t: array_to_string(list_transform(string_split(t, '&'), lambda x, i:
+    CASE WHEN i = 1 THEN x
+      WHEN regexp_matches(x, '{DECIMAL}') AND (regexp_extract(x, '{DECIMAL}', 1)::INT BETWEEN 1 AND 55295 OR regexp_extract(x, '{DECIMAL}', 1)::INT BETWEEN 57344 AND 1114111)
+        THEN chr(regexp_extract(x, '{DECIMAL}', 1)::INT) || regexp_replace(x, '^[^;]*;', '')
+      WHEN regexp_matches(x, '{HEXADECIMAL}') AND (('0x' || regexp_extract(x, '{HEXADECIMAL}', 1))::INT BETWEEN 1 AND 55295 OR ('0x' || regexp_extract(x, '{HEXADECIMAL}', 1))::INT BETWEEN 57344 AND 1114111)
+        THEN chr(('0x' || regexp_extract(x, '{HEXADECIMAL}', 1))::INT) || regexp_replace(x, '^[^;]*;', '')
+      WHEN starts_with(x, 'amp;') THEN '&' || substr(x, 5) ELSE '&' || x END), ''))) AS t FROM p),
+climbed AS (
+  SELECT *, list_filter(string_split(regexp_replace(path, '[^/]*$', ''), '/'), lambda x: x <> '') AS folders,
+    length(replace(regexp_extract(t, '{CLIMB}', 1), '../', '..//')) - length(regexp_extract(t, '{CLIMB}', 1)) AS ups FROM given),
 named AS (
-  SELECT k AS a, unnest(list_transform(targets, lambda t: CASE WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || t
-    WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || '://' || host || t ELSE t END)) AS target FROM p),
+  SELECT a, CASE WHEN t = '' OR starts_with(t, '#') THEN NULL WHEN regexp_matches(t, '{SCHEME}') THEN t
+    WHEN starts_with(t, '//') THEN scheme || ':' || t WHEN starts_with(t, '/') THEN scheme || '://' || host || t
+    WHEN starts_with(t, '?') THEN scheme || '://' || host || path || t
+    ELSE scheme || '://' || host || '/' || array_to_string(list_transform(folders[1:greatest(len(folders) - ups, 0)], lambda x: x || '/'), '') || regexp_replace(t, '{CLIMB}', '') END AS target
+  FROM climbed),
 links AS (SELECT a, {_key_sql('target')} AS b FROM named),
 edges AS (SELECT a, b FROM links WHERE a <> b UNION SELECT b, a FROM links WHERE a <> b),
 reach AS (SELECT a, a AS b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),

@@ -382,3 +382,28 @@ def test_aliases_carry_blocks_and_allow_takes_precedence(spark):
     assert blocked == {1, 2, 3, 6, 7, 8, 12}
     moved = spark.createDataFrame([("http://lone.net/", "http://z.com/de/"), (None, "http://lone.net/")], "source string, target string")
     assert {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(frame, redirects=moved).collect()}[11] == "block"
+
+
+def test_links_are_decoded_resolved_and_read_outside_comments(spark):
+    import duckdb
+
+    canonical, refresh = '<link rel="canonical" href="%s">', "<META http-equiv=refresh content='0; url=%s'>"
+    bad = "http://x.com/de/"
+    rows = [
+        (1, "http://a.net/p?x=1&y=2", canonical % (bad + "1")), (2, "http://b.net/", canonical % "http://a.net/p?x=1&amp;y=2"),
+        (3, "http://c.net/f/old.html", canonical % (bad + "2")), (4, "http://c.net/f/new.html", refresh % "old.html"), (5, "http://c.net/f/g/h", refresh % ".././old.html"),
+        (6, "http://c.net/q", refresh % "../../f/old.html"), (7, "http://d.net/s?id=3", canonical % (bad + "3")), (8, "http://d.net/s?id=4", refresh % "?id=3"),
+        (9, "http://e.net/", f"<!-- {canonical % bad} -->"), (10, "http://f.net/", f"<script>var a='{canonical % bad}'</script>"), (11, "http://g.net/", f"<!-- {canonical % bad}"),
+        (12, "http://h.net/", canonical % "#top"), (13, "http://i.net/", canonical % ""), (14, "http://j.net/", canonical % "mailto:a@x.com"),
+        (15, "http://k.net/é", canonical % (bad + "4")), (16, "http://l.net/", canonical % "http://k.net/&#233;"), (17, "http://m.net/", canonical % "http://k.net/&#xE9;"),
+        (18, "http://n.net/", canonical % "http://k.net/&#0;&#x110000;&#xd800;&eacute;"), (19, "http://o.net/", canonical % "&#104;ttp&#58;//k.net/&#233;"),
+        (20, "http://p.net/", canonical % "http://a.net/p?x=1&amp;amp;y=2"), (21, None, canonical % "x"), (22, "none", canonical % "x"), (23, "http://c.net", refresh % "f/old.html"),
+        (24, "http://q.net/", f"<!-- a --><script>x</script>{canonical % bad}"),
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = [tuple(r) for r in url_filter.filter_urls(frame).orderBy("page_id").collect()]
+    assert {r[0] for r in found if r[4] == "block"} == {1, 2, 3, 4, 5, 6, 7, 8, 15, 16, 17, 19, 23, 24}
+    pages = frame.toPandas()
+    with duckdb.connect() as db:
+        db.register("pages", pages)
+        assert db.sql(f"SELECT page_id, host, path, rule, verdict FROM ({url_filter.ORACLE}) ORDER BY page_id").fetchall() == found
