@@ -47,18 +47,20 @@ def source_rates(
 
 def mix_sources(
     docs: DataFrame, targets: Mapping[str | None, float] | None = None, *, alpha: float = 0.5, epochs: float = 1.0,
-    seed: int = 17, id_col: str = "doc_id", source_col: str = "source",
+    seed: int = 17, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", numbered: bool = True,
 ) -> DataFrame:
     """Repeat each document by a Poisson count with its source's rate, and shuffle all copies.
 
     Adds ``draw`` and ``copy`` (together they number a document's copies) and ``shuffle_key``; the
     rows are dealt by that key and sorted by it inside each partition. The count inverts the Poisson
-    distribution at a hash of seed, id and draw, so a task that runs again draws the same, and two
-    rows with one id draw alike. NULL ids share one draw per source and NULL sources are a source of
-    their own. An empty table gives an empty table. Columns of ``docs`` named draw, copy or
-    shuffle_key are replaced.
+    distribution at a hash of seed, id, draw and text (if there is such a column), so a task that
+    runs again draws the same, rows without an id draw by their texts, and only rows with one id and
+    text draw alike. NULL sources are a source of their own. An empty table gives an empty table.
+    Columns of ``docs`` named draw, copy or shuffle_key are replaced, or with ``numbered=False`` kept
+    while nothing is added; all other names are free.
     """
-    docs = docs.drop("draw", "copy", "shuffle_key")
+    if numbered:
+        docs = docs.drop("draw", "copy", "shuffle_key")
     rates = source_rates(docs, targets, alpha=alpha, epochs=epochs, source_col=source_col)
     logs = F.array(*[F.lit(x) for x in log_factorials(MOST)])
     draws = F.ceil(F.col("rate") / MEAN).cast("int")
@@ -77,20 +79,21 @@ def mix_sources(
         .select(F.col("source").alias("_source"), "_draws", summed.alias("_upto")),
         "source-rates",
     )
-    drawn = docs.join(table, F.col(source_col).eqNullSafe(F.col("_source")), "inner").withColumn(
+    text = F.md5(F.col(text_col).cast("string")) if text_col in docs.columns else F.lit(None).cast("string")
+    # The given columns travel as one struct, so that none clashes with those of the draw.
+    given = docs.select(F.struct(*docs.columns).alias("doc"), F.col(source_col).alias("source"), F.col(id_col).alias("id"), text.alias("text"))
+    drawn = given.join(table, F.col("source").eqNullSafe(F.col("_source")), "inner").withColumn(
         "draw", F.explode(F.sequence(F.lit(0), F.col("_draws") - 1))
     )
-    point = unit(hash52(str(seed), F.col(id_col), F.col("draw")))
+    point = unit(hash52(str(seed), F.col("id"), F.col("draw"), F.col("text")))
     # The least k whose cumulative probability reaches the point.
     counted = drawn.withColumn("_point", point).withColumn(
         "_count", F.size(F.filter("_upto", lambda c: c < F.col("_point")))
     )
     copies = counted.filter("_count > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
-    key = hash52(f"{seed}-order", F.col(id_col), F.col("draw"), F.col("copy"))
-    return (
-        copies.select(*docs.columns, "draw", "copy", key.alias("shuffle_key"))
-        .repartition("shuffle_key").sortWithinPartitions("shuffle_key")
-    )
+    key = hash52(f"{seed}-order", F.col("id"), F.col("draw"), F.col("copy"), F.col("text"))
+    dealt = copies.select("doc", "draw", "copy", key.alias("shuffle_key")).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return dealt.select("doc.*", "draw", "copy", "shuffle_key") if numbered else dealt.select("doc.*")
 
 
 # The rates are as in source_rates without targets, alpha 0.5, one epoch, seed 17.
@@ -106,10 +109,10 @@ drawn AS (
   SELECT d.*, t.cs, u.draw FROM documents d JOIN tables t ON d.source IS NOT DISTINCT FROM t.source,
   LATERAL (SELECT unnest(range(0, t.draws))::INT AS draw) u),
 counted AS (
-  SELECT *, len(list_filter(cs, lambda c: c < (('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'null') || ':' || draw), 1, 13))::BIGINT
+  SELECT *, len(list_filter(cs, lambda c: c < (('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'null') || ':' || draw || ':' || coalesce(md5(text), 'null')), 1, 13))::BIGINT
     + 0.5::DOUBLE) / 4503599627370496)) AS n FROM drawn),
 copies AS (SELECT *, unnest(range(0, n))::INT AS copy FROM counted)
 SELECT doc_id, text, lang, source, n_chars, draw, copy,
-  ('0x' || substr(md5('17-order:' || coalesce(doc_id::VARCHAR, 'null') || ':' || draw || ':' || copy), 1, 13))::BIGINT AS shuffle_key
+  ('0x' || substr(md5('17-order:' || coalesce(doc_id::VARCHAR, 'null') || ':' || draw || ':' || copy || ':' || coalesce(md5(text), 'null')), 1, 13))::BIGINT AS shuffle_key
 FROM copies
 """

@@ -407,3 +407,19 @@ def test_links_are_decoded_resolved_and_read_outside_comments(spark):
     with duckdb.connect() as db:
         db.register("pages", pages)
         assert db.sql(f"SELECT page_id, host, path, rule, verdict FROM ({url_filter.ORACLE}) ORDER BY page_id").fetchall() == found
+
+
+def test_mixing_leaves_columns_of_any_name_alone(spark):
+    extra = ["_source", "_count", "_draws", "_upto", "_mean", "_point", "doc", "id"]
+    rows = [(None, f"text {k}", "ab"[k % 2], *[f"{name} {k}" for name in extra], f"mine {k}") for k in range(400)]
+    frame = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in ["doc_id", "text", "source", *extra, "copy"]))
+    plain = mixing.mix_sources(frame, numbered=False)
+    assert plain.columns == frame.columns
+    kept = [tuple(r) for r in plain.collect()]
+    assert set(kept) <= set(rows)
+    numbered = mixing.mix_sources(frame)
+    assert numbered.columns == [*frame.columns[:-1], "draw", "copy", "shuffle_key"]
+    # Rows without an id draw by their texts: some none, some several times, and they are dealt to all partitions.
+    times = Counter(r[1] for r in kept)
+    assert 200 < len(times) < 320 and max(times.values()) > 1
+    assert len({r["shuffle_key"] for r in numbered.collect()}) == len(kept)
