@@ -28,7 +28,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated by their source's rate and shuffled."""
-    return mixing.mix_sources(docs).select(*docs.columns)
+    return mixing.mix_sources(docs, numbered=False)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
