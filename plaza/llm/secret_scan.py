@@ -21,9 +21,9 @@ from plaza.llm.common import pieces, small_batches
 from plaza.session import stage
 
 BATCH_BYTES = 4 << 20
-SAMPLE = 20_000  # documents that the dictionary is made of, in expectation
-MOST_LABELS = 10_000  # findings of each label that the forest is fitted on, in expectation
+MOST_LABELS = 10_000  # findings that the labels at sight, or the reviewed ones, weigh as much as at most
 MOST_WORDS = 20_000  # of the dictionary
+TASK_LABELS = 50_000  # findings that a task of the fit holds
 
 # Formats that providers document. The first group is the secret.
 FORMATS = {
@@ -230,28 +230,46 @@ def _trees(model) -> list[tuple[np.ndarray, ...]]:
     return found
 
 
+def _most_frequent(counts: DataFrame, most: int) -> frozenset[str]:
+    """The ``most`` words with the highest n, ties to the smaller word.
+
+    The least n comes from the list of distinct ones, so that tasks don't send ``most`` words each.
+    """
+    left, least = most, 0
+    for n, words in counts.groupBy("n").agg(F.count(F.lit(1))).orderBy(F.desc("n")).toLocalIterator():
+        if words > left:
+            least = n
+            break
+        left -= words
+    found = counts.filter(F.col("n") > least).select("word")
+    ties = counts.filter(F.col("n") == least).select("word").orderBy("word").limit(left)
+    return frozenset(r["word"] for r in found.unionByName(ties).collect())  # at most ``most``
+
+
 def train_secret_model(
-    docs: DataFrame, labelled: DataFrame | None = None, *, sample: int = SAMPLE, most_labels: int = MOST_LABELS, id_col: str = "doc_id",
+    docs: DataFrame, labelled: DataFrame | None = None, *, sample: int | None = None, most_labels: int = MOST_LABELS, id_col: str = "doc_id",
     text_col: str = "text", seed: int = 11,
 ) -> SecretModel:
-    """Fit the forest on findings of all documents: of each label about ``most_labels``, chosen by a hash, or all if there are fewer.
+    """Fit the forest on all findings of all documents that have a label.
 
-    ``labelled`` (id, start, label) gives reviewed findings, which are drawn apart from the others; the rest
-    get a label where one is certain at sight. Labels weigh alike, however rare one is. The dictionary is
-    the words that several of about ``sample`` documents share. Both sides of the label are needed; without
-    them only documented formats are trusted.
+    ``labelled`` (id, start, label) gives reviewed findings; the rest get a label where one is certain at sight.
+    Labels weigh alike, however rare one is; of a label, the reviewed findings and the others weigh as much as
+    they are, but at most as ``most_labels``, so that many of one do not drown the other. The dictionary is the
+    most frequent words that several documents share: of all, or of about ``sample`` if that is asked for. Both
+    sides of the label are needed; without them only documented formats are trusted.
     """
     spark = docs.sparkSession
     small_batches(spark)
     given = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).filter("text is not null")
-    total = given.count()
-    point = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(1 << 30)) / float(1 << 30)
-    sampled = given.filter(point < min(1.0, sample / max(1, total)))
-    words = (
-        sampled.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\b([\p{L}]{3,16})\b"), 1))).alias("word"))
-        .groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n >= 3").orderBy(F.desc("n"), "word").limit(MOST_WORDS)
+    read = given
+    if sample is not None:
+        point = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(1 << 30)) / float(1 << 30)
+        read = given.filter(point < min(1.0, sample / max(1, given.count())))
+    counts = (
+        read.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\b([\p{L}]{3,16})\b"), 1))).alias("word"))
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n >= 3")
     )
-    dictionary = frozenset(r["word"] for r in words.collect())  # at most MOST_WORDS
+    dictionary = _most_frequent(stage(counts, "words"), MOST_WORDS)
     if labelled is None:
         given = given.withColumn("reviewed", F.lit(None).cast("array<struct<start:long,label:double>>"))
     else:
@@ -260,7 +278,7 @@ def train_secret_model(
         given = given.join(reviewed, "id", "left").select("id", "text", "reviewed")
 
     def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[str | None, str, Finding, float, int, float]]]:
-        """Per batch the findings with a label: id, text, finding, label, kind (label, reviewed or not), place among its kind."""
+        """Per batch the findings with a label: id, text, finding, label, kind (label, reviewed or not), place by a hash."""
         for batch in pieces(batches, "text", BATCH_BYTES):
             rows = []
             for key, text, given_labels in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "reviewed")), strict=True):
@@ -273,35 +291,29 @@ def train_secret_model(
                         rows.append((key, text, one, label, 2 * int(label) + (one.start in own), int.from_bytes(digest) / 2.0**64))
             yield rows
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in settled(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([r[4] for r in rows], pa.int32()), pa.array([r[5] for r in rows], pa.float64())], names=["kind", "place"])
-
-    # Copies of a document give one place, so they count once.
-    kinds = given.mapInArrow(places, "kind int, place double").groupBy("kind").agg(F.approx_count_distinct("place").alias("n")).collect()  # four rows
-    share = {r["kind"]: most_labels / max(1, r["n"]) for r in kinds}
-    if len({kind // 2 for kind in share}) < 2:
-        return SecretModel([], dictionary)
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in settled(batches):
-            drawn = [r for r in rows if r[5] < share[r[4]]]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([r[5] for r in drawn], pa.float64()), pa.array([r[4] for r in drawn], pa.int32()),
-                    pa.array([r[3] for r in drawn], pa.float64()), pa.array([features(r[1], r[2], dictionary) for r in drawn], pa.list_(pa.float64())),
+                    pa.array([r[5] for r in rows], pa.float64()), pa.array([r[4] for r in rows], pa.int32()),
+                    pa.array([r[3] for r in rows], pa.float64()), pa.array([features(r[1], r[2], dictionary) for r in rows], pa.list_(pa.float64())),
                 ],
                 names=["place", "kind", "label", "features"],
             )
 
-    drawn = given.mapInArrow(draw, "place double, kind int, label double, features array<double>")
-    # Bounded by the draw; one sorted partition makes the forest the same in every run.
-    drawn = drawn.groupBy("place", "kind", "label").agg(F.min("features").alias("features"))
-    known = stage(drawn.repartition(1).sortWithinPartitions("place", "kind"), "secret-labels")
-    many = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(many) < 2:
+    found = given.mapInArrow(learned, "place double, kind int, label double, features array<double>")
+    # Copies of a document give one place, so they count once.
+    known = stage(found.groupBy("place", "kind", "label").agg(F.min("features").alias("features")), "secret-labels")
+    many = {(r["label"], r["kind"]): r["n"] for r in known.groupBy("label", "kind").agg(F.count(F.lit(1)).alias("n")).collect()}  # four rows
+    share = {group: min(1.0, most_labels / n) for group, n in many.items()}
+    mass = {label: sum(share[g] * n for g, n in many.items() if g[0] == label) for label, _ in many}
+    if len(mass) < 2:
         return SecretModel([], dictionary)
-    weight = F.when(F.col("label") == 1.0, sum(many.values()) / (2.0 * many[1.0])).otherwise(sum(many.values()) / (2.0 * many[0.0]))
+    # A label weighs half of all.
+    weights = {group: share[group] * sum(mass.values()) / (2.0 * mass[group[0]]) for group in many}
+    weight = F.coalesce(*[F.when((F.col("label") == label) & (F.col("kind") == kind), value) for (label, kind), value in weights.items()])
+    # Dealt by a hash and sorted, findings give the same forest in every run, however they were read.
+    known = known.repartition(math.ceil(sum(many.values()) / TASK_LABELS), "place").sortWithinPartitions("place", "kind", "label")
     # The detector's name settles the label of the certain ones: the forest must see the value itself.
     vectors = known.select("label", weight.alias("weight"), array_to_vector(F.transform("features", lambda x, k: F.when(k == len(FEATURES) - 1, 0.0).otherwise(x))).alias("features"))
     forest = RandomForestClassifier(numTrees=20, maxDepth=6, seed=seed, featuresCol="features", labelCol="label", weightCol="weight")

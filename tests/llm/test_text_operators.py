@@ -341,6 +341,26 @@ def test_rare_secrets_are_among_the_labels(docs):
     assert all(found[1000 + k] for k in range(4)) and found[2001] and not any(found[k] for k in range(600))
 
 
+def test_the_model_is_made_of_all_documents(docs):
+    """Rare words and all findings are learned from, however many there are; a run with other slices gives the same forest."""
+    rows = [(k, f"order {k:016d} of zebra") for k in range(40_000)]
+    rows += [(50_000 + k, f'quagga quagga password = "{k * 7919 + 10**14:x}{k * 104729 + 10**15:x}"') for k in range(3)]
+    model = secret_scan.train_secret_model(docs(*rows))
+    assert model.words >= {"zebra", "quagga"} and model.trees
+    other = secret_scan.train_secret_model(docs(*rows).repartition(7, "text"))
+    assert other.words == model.words
+    assert all((x == y).all() for one, two in zip(model.trees, other.trees, strict=True) for x, y in zip(one, two, strict=True))
+
+
+def test_reviewed_findings_weigh_beside_many_others(spark, docs):
+    """Values with three zeros are secrets, say a few reviews; the many numbers that are harmless at sight do not drown them."""
+    rows = [(k, f"see {k:03d}{k * 7919:015d}") for k in range(3000)] + [(9000 + k, f"see 000b{k:013d}") for k in range(20)]
+    reviewed = spark.createDataFrame([(9000 + k, 4, 1.0) for k in range(20)], "doc_id long, start long, label double")
+    model = secret_scan.train_secret_model(docs(*rows), reviewed, most_labels=50)
+    found = secret_scan.scan_secrets(docs(*rows), model).filter("is_secret").collect()
+    assert {r["doc_id"] for r in found} == set(range(9000, 9020))
+
+
 def test_reviewed_labels_count(spark, docs):
     rows = [(k, f"see {'%013d' % (k * 7919)}a{k}") for k in range(40)]
     reviewed = spark.createDataFrame([(k, 4, float(k % 2)) for k in range(40)] + [(1, 4, 1.0), (None, 4, 1.0)], "doc_id long, start long, label double")
