@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import pytest
-from conftest import comment, post, rows
+from conftest import comment, plan, post, rows
 from pyspark.sql import functions as F
 
 from plaza import schemas
@@ -35,6 +36,28 @@ def test_single_snapshot(spark, tmp_path, put):
     ]
 
 
+def test_a_file_is_read_at_once_and_whole(spark, tmp_path, put):
+    """Numbers are wanted as text, which makes Spark seek for each of them if files are read with multiLine."""
+    many = [post(f"p{k}", title="a\u2028b\nc", score=k) for k in range(3000)]
+    put(tmp_path, "tools", DAY, "raw_a.json", {"posts": many})
+    put(tmp_path, "tools", DAY, "raw_b.json", json.dumps({"posts": [post("q", score=1.50, title=2)]}, indent=1).replace("1.5", "1.50"))
+    put(tmp_path, "tools", DAY, "raw_c.json", "{broken\nin two lines")
+    put(tmp_path, "tools", DAY, "raw_d.json", " \n")
+    put(tmp_path, "tools", f"{DAY}/hour=1", "raw_e.json", {"posts": [post("below")]})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        glob = paths.snapshot_glob(str(tmp_path))
+        found = read(spark, tmp_path)
+        assert sorted(rows(found, "id", "title", "score")) == sorted([(f"p{k}", "a\u2028b\nc", k) for k in range(3000)] + [("q", "2", 1)])
+        assert snapshots.read_envelopes(spark, glob, schemas.POST_SNAPSHOT).count() == 3
+        assert rows(paths.list_files(spark, glob).select("file_name")) == [(f"raw_{x}.json",) for x in "abcd"]
+        # Folders are listed, not each of the files that a glob names.
+        assert "InMemoryFileIndex(1 paths)" in plan(snapshots.read_envelopes(spark, glob, schemas.POST_SNAPSHOT))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_latest_version_wins(spark, two_snapshots):
     got = dedupe_latest_snapshot(read(spark, two_snapshots))
     assert rows(got, "id", "title", "score") == [("p1", "new", 50), ("p2", "title p2", 10), ("p3", "title p3", 10)]
