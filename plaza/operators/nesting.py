@@ -46,8 +46,9 @@ def collect_in_parts(
 
     A narrow pass finds the keys with more than ``hot`` rows. All others are numbered, cut and
     listed in one shuffle by key; those are numbered in sorted ranges, so that no task has to
-    sort a whole hot key.
+    sort a whole hot key. The passes share the rows, which are written first.
     """
+    df = stage(df.select(*dict.fromkeys([*keys, *items, *order])), "items")
     element = F.struct(
         *[F.col(name).alias(f"_order{at}") for at, name in enumerate(order)],
         F.struct(*items).alias("_item"),

@@ -106,3 +106,17 @@ def test_a_hot_group_is_split_by_what_was_measured(spark, skewed):
 def test_a_join_that_cannot_be_split_is_refused(skewed):
     with pytest.raises(ValueError):
         skew.join_groups(skewed, skewed, ["k"], "full")
+
+
+def test_the_passes_of_a_listing_share_the_rows(spark):
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    data = spark.range(50).selectExpr("id % 3 AS k", "id AS v").mapInArrow(seen, "k long, v long")
+    lists = collect_in_parts(data, ["k"], ["v"], ["v"], into="vs", max_items=5, hot=16)
+    assert sorted(row["v"] for part in lists.collect() for row in part["vs"]) == list(range(50))
+    assert counted.value == 50
