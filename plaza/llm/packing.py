@@ -21,6 +21,29 @@ BATCH_BYTES = 4 << 20
 Configuration = tuple[int, list[tuple[int, int, int]]]
 
 
+class Solution:
+    """(uses, configuration) pairs. Only the lengths that a configuration holds are kept, as it has few of them.
+
+    A configuration is read as the number of its pieces of every length, made when it is looked at.
+    """
+
+    def __init__(self, capacity: int):
+        self.capacity, self.kept = capacity, []
+
+    def add(self, times: int, config: dict[int, int]) -> None:
+        self.kept.append((times, tuple(config.items())))
+
+    def __len__(self) -> int:
+        return len(self.kept)
+
+    def __iter__(self) -> Iterator[tuple[int, np.ndarray]]:
+        for times, held in self.kept:
+            config = np.zeros(self.capacity + 1, np.int64)
+            for length, many in held:
+                config[length] = many
+            yield times, config
+
+
 def cut_documents(
     docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id",
     text_col: str = "text", with_ids: bool = False,
@@ -84,7 +107,7 @@ def best_fill(prices: np.ndarray, capacity: int) -> np.ndarray:
     return used
 
 
-def solve(counts: np.ndarray, capacity: int, within: int, step: float = 0.34, rate: float = 0.3) -> list[tuple[int, np.ndarray]]:
+def solve(counts: np.ndarray, capacity: int, within: int, step: float = 0.34, rate: float = 0.3) -> Solution:
     """The configuration program by multiplicative weights: (uses, configuration) pairs within the demand.
 
     A round prices all lengths that are left and solves one knapsack, which gives for every length the
@@ -97,7 +120,7 @@ def solve(counts: np.ndarray, capacity: int, within: int, step: float = 0.34, ra
     # Longer pieces are harder to place, so they start a little dearer than their length.
     base, weights = lengths * (1 + lengths / capacity / 8), np.ones(capacity + 1)
     rest = counts.astype(np.int64).tolist()
-    solved: list[tuple[int, np.ndarray]] = []
+    solved = Solution(capacity)
     while True:
         left = np.array(rest)
         prices = np.where(left > 0, base * weights, 0.0)
@@ -122,9 +145,7 @@ def solve(counts: np.ndarray, capacity: int, within: int, step: float = 0.34, ra
             for length, many in config.items():
                 rest[length] -= times * many
                 share[length] -= times * many
-            used = np.zeros(capacity + 1, np.int64)
-            used[list(config)] = list(config.values())
-            solved.append((times, used))
+            solved.add(times, config)
             found += times
         if not found:
             return solved
@@ -133,9 +154,9 @@ def solve(counts: np.ndarray, capacity: int, within: int, step: float = 0.34, ra
             weights = np.exp(rate * (open_ - open_[left].mean()))
 
 
-def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, np.ndarray]]:
+def best_fit(counts: np.ndarray, capacity: int) -> Solution:
     """Fill sequence by sequence with the longest piece that fits, equal sequences together."""
-    rest, chosen = counts.astype(np.int64).copy(), []
+    rest, chosen = counts.astype(np.int64).copy(), Solution(capacity)
     while rest.any():
         config, room = np.zeros(capacity + 1, np.int64), capacity
         while room and len(fitting := np.flatnonzero((rest[: room + 1] - config[: room + 1]) > 0)):
@@ -146,22 +167,27 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, np.ndarray]]:
         used = np.flatnonzero(config)
         times = int((rest[used] // config[used]).min())
         rest -= times * config
-        chosen.append((times, config))
+        chosen.add(times, {int(x): int(config[x]) for x in used})
     return chosen
 
 
-def rounded(counts: np.ndarray, solved: list[tuple[int, np.ndarray]], capacity: int) -> list[Configuration]:
+def rounded(counts: np.ndarray, solved: Solution, capacity: int) -> list[Configuration]:
     """The solution's configurations and the rest by best fit; best fit alone in the rare case that it needs fewer sequences."""
-    rest = counts - sum((times * config for times, config in solved), np.zeros(capacity + 1, np.int64))
-    chosen = [*solved, *best_fit(rest, capacity)]
-    alone = best_fit(counts, capacity)
+    rest = counts.astype(np.int64)
+    for times, held in solved.kept:
+        for length, many in held:
+            rest[length] -= times * many
+    chosen = [*solved.kept, *best_fit(rest, capacity).kept]
+    alone = best_fit(counts, capacity).kept
     if sum(times for times, _ in alone) < sum(times for times, _ in chosen):
         chosen = alone
     plan = []
-    for times, config in chosen:
-        used = [int(x) for x in np.flatnonzero(config)[::-1]]
-        places = np.cumsum([0, *[x * int(config[x]) for x in used]])
-        plan.append((times, [(x, int(config[x]), int(place)) for x, place in zip(used, places, strict=False)]))
+    for times, held in chosen:
+        items, place = [], 0
+        for length, many in sorted(held, reverse=True):
+            items.append((length, many, place))
+            place += length * many
+        plan.append((times, items))
     return plan
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -118,6 +119,18 @@ def test_solver_uses_each_length_as_often_as_there_are_pieces():
         assert sum(t for t, _ in plan) <= -(-int((counts * np.arange(65)).sum()) // 64) + 1 + size // 200
 
 
+def test_configurations_are_kept_by_the_lengths_they_hold():
+    """An array of all lengths for each would be 16 KB: 150 MB of the driver's memory for 45,000 documents."""
+    lengths = np.minimum(np.random.default_rng(5).lognormal(6.3, 0.9, 4000).astype(int) + 1, 2048)
+    counts = np.bincount(lengths, minlength=2049)
+    tracemalloc.start()
+    solved = packing.solve(counts, 2048, 1000)
+    packing.rounded(counts, solved, 2048)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(solved) > 1000 and peak < 2000 * len(solved) + 2e6 < 8 * 2049 * len(solved)
+
+
 def test_best_fill_is_the_best():
     prices = np.zeros(21)
     prices[[3, 7, 11]] = 3.5, 9.0, 14.0
