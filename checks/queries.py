@@ -14,7 +14,7 @@ from plaza.functions import dates, text, values
 from plaza.operators import dedupe, merge, quality, state, topk
 from plaza.plans import context, fallback, gold, insights, publish, serve, silver
 from plaza.plans.medallion import Tables, run_medallion
-from plaza.session import new_folder, stage
+from plaza.session import freeing, new_folder, stage
 from plaza.sources import listings, paths, sinks, snapshots, tables
 from plaza.streaming import incremental, ingest, stateful
 
@@ -927,15 +927,24 @@ def status_with_fallback(spark, sf_dir):
     return rows.select("layer", "mode", "records", "subreddits")
 
 
+def _published(spark: SparkSession, sf_dir: str) -> str:
+    """Where the snapshot is. Weeks and commenters share the cleaned comments, of which the columns they read are written."""
+    out = new_folder(spark, "published")
+    posts = silver_posts_frame(spark, sf_dir)
+    with freeing(spark):
+        comments = stage(
+            silver_comments_frame(spark, sf_dir).select("post_id", "subreddit", "author", "score", "created_utc"), "silver_comments"
+        )
+        publish.publish_snapshot(
+            posts, gold.subreddit_week(posts, comments), gold.top_commenters(comments), b.insights(spark, sf_dir), out
+        )
+    return out
+
+
 @query
 def published_posts(spark, sf_dir):
     """The snapshot document written, read back, and its posts listed."""
-    out = new_folder(spark, "published")
-    comments = silver_comments_frame(spark, sf_dir)
-    publish.publish_snapshot(
-        silver_posts_frame(spark, sf_dir), weeks_frame(spark, sf_dir), gold.top_commenters(comments),
-        b.insights(spark, sf_dir), out,
-    )
+    out = _published(spark, sf_dir)
     document = spark.read.json(f"{out}/document")
     rows = document.select(F.col("gold.summary.total_posts").alias("total_posts"), F.inline("silver_posts"))
     return rows.select("id", "score", "tools_count", "total_posts")
@@ -944,12 +953,7 @@ def published_posts(spark, sf_dir):
 @query
 def published_insights(spark, sf_dir):
     """The insights beside the document, read back."""
-    out = new_folder(spark, "published")
-    comments = silver_comments_frame(spark, sf_dir)
-    publish.publish_snapshot(
-        silver_posts_frame(spark, sf_dir), weeks_frame(spark, sf_dir), gold.top_commenters(comments),
-        b.insights(spark, sf_dir), out,
-    )
+    out = _published(spark, sf_dir)
     rows = spark.read.schema(
         "subreddit STRING, part INT, parts INT, insights MAP<STRING, ARRAY<STRUCT<item_name: STRING, mentions: INT, context: STRING>>>"
     ).json(f"{out}/insights")

@@ -9,6 +9,7 @@ from plaza.operators.topk import ranked
 from plaza.plans.gold import gold_summary
 from plaza.plans.insights import nested_insights
 from plaza.plans.serve import top_commenter_rows, top_silver_posts, top_weeks
+from plaza.session import freeing, stage, together
 
 # How many rows of each list are published.
 POSTS, WEEKS, COMMENTERS = 50, 30, 20
@@ -89,8 +90,16 @@ def publish_snapshot(
 
     The lists in the document have fixed lengths. Insights grow with the communities, so they
     are written by many tasks next to it rather than inside it; without new insights the
-    published ones stay.
+    published ones stay. Both are written at the same time. The weeks are read for the totals and
+    for the leading ones, so they are written first.
     """
-    snapshot_document(posts, weeks, commenters).write.mode("overwrite").json(f"{out}/document")
-    if insights is not None:
+    spark = posts.sparkSession
+
+    def document() -> None:
+        snapshot_document(posts, stage(weeks, "weeks"), commenters).write.mode("overwrite").json(f"{out}/document")
+
+    def beside() -> None:
         nested_insights(insights).write.mode("overwrite").json(f"{out}/insights")
+
+    with freeing(spark):
+        together(spark, document, *([] if insights is None else [beside]))

@@ -149,3 +149,25 @@ def test_published_document(spark, with_insights):
     assert document["gold"]["summary"]["total_unique_commenters"] == 1
     if with_insights:
         assert spark.read.json(f"{out}/insights").first()["subreddit"] == "s"
+
+
+def test_publishing_reads_the_weeks_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(community):
+        read.add(1)
+        return community
+
+    posts = spark.createDataFrame(
+        [("1", "s", "t", "x", "a", 1, 0.5, 1, "d", "l", "f", True, "d", 1711800000.0)],
+        "id string, subreddit string, title string, selftext string, author string, score bigint, upvote_ratio double, "
+        "num_comments bigint, created_date string, permalink string, flair string, is_self boolean, ingest_date string, "
+        "created_utc double",
+    )
+    said = posts.select("subreddit", "author", "score", F.col("id").alias("post_id"), "created_utc")
+    weeks = gold.subreddit_week(posts, said).withColumn("subreddit", seen.asNondeterministic()("subreddit"))
+    out = new_folder(spark, "out")
+    publish.publish_snapshot(posts, weeks, gold.top_commenters(said), None, out)
+    assert read.value == 1
+    assert spark.read.json(f"{out}/document").first()["gold"]["summary"]["total_posts"] == 1
