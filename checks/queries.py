@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -988,17 +988,19 @@ def _new_tables(spark: SparkSession, label: str) -> Tables:
     return Tables(spark, base, prefix="t" + base.rsplit("-", 1)[1] + "_", buckets=4).create()
 
 
+def _load_runs(made: Tables, posts: DataFrame, dates: Sequence[str]) -> None:
+    """Load the runs one after the other. A row's day is part of its key, so all are deduplicated in one pass, written once."""
+    with freeing(made.spark):
+        latest = stage(dedupe.dedupe_latest_snapshot(posts.where(F.col("ingest_date").isin(*dates))), "runs")
+        for date in dates:
+            run_medallion(made, latest.where(F.col("ingest_date") == date), ingest_date=date, scope="batch")
+
+
 @query
 def medallion_of_one_batch(spark, sf_dir):
     """Gold from the batch alone: two runs, each loaded twice."""
     made = _new_tables(spark, "batch")
-    posts = b.snapshot_posts(spark, sf_dir)
-    for date in b.RUNS[:2]:
-        rows = dedupe.dedupe_latest_snapshot(posts.where(F.col("ingest_date") == date))
-        for _ in range(2):
-            run_medallion(made, rows, ingest_date=date, scope="batch")
-    last = dedupe.dedupe_latest_snapshot(posts.where(F.col("ingest_date") == b.RUNS[2]))
-    run_medallion(made, last, ingest_date=b.RUNS[2], scope="batch")
+    _load_runs(made, b.snapshot_posts(spark, sf_dir), [b.RUNS[0], b.RUNS[0], b.RUNS[1], b.RUNS[1], b.RUNS[2]])
     return made.open("bronze_posts").groupBy("_ingest_date").agg(F.count(F.lit(1)).alias("posts"))
 
 
@@ -1006,10 +1008,7 @@ def medallion_of_one_batch(spark, sf_dir):
 def batch_scope_gold_weeks(spark, sf_dir):
     """Gold rows of three runs, each from its batch alone; a later batch replaces a week of a community."""
     made = _new_tables(spark, "batch-gold")
-    posts = b.snapshot_posts(spark, sf_dir)
-    for date in b.RUNS:
-        rows = dedupe.dedupe_latest_snapshot(posts.where(F.col("ingest_date") == date))
-        run_medallion(made, rows, ingest_date=date, scope="batch")
+    _load_runs(made, b.snapshot_posts(spark, sf_dir), b.RUNS)
     return made.open("gold_subreddit_week").select(
         "week_start", "subreddit", "post_count", "sum_score", "sum_num_comments", "avg_score", "avg_comments_per_post", "ingest_date")
 
