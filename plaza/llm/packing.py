@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plaza.llm.common import pieces, small_batches
+from plaza.llm.common import gathered, pieces, small_batches
 from plaza.llm.tokens import encoder, tokenizer_file
 from plaza.session import stage
 
@@ -60,9 +60,9 @@ def cut_documents(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(spec), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in pieces(batches, "text", BATCH_BYTES):
+        for batch in pieces(gathered(batches, "text", BATCH_BYTES), "text", BATCH_BYTES):
             rows: list[tuple] = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode.ids(batch.column("text").to_pylist()), strict=True):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode.ids(batch.column("text")), strict=True):
                 ids = np.append(ids.astype("<u4"), np.uint32(end_id))
                 first = len(ids) % capacity or min(capacity, len(ids))
                 starts = [0, *range(first, len(ids), capacity)]

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plaza.llm.common import ROWS, Scratch, pieces, small_batches
+from plaza.llm.common import ROWS, Scratch, gathered, pieces, small_batches
 from plaza.llm.tokens import encoder, tokenizer_file
 
 SCALE = 20  # frequencies sum to 2**SCALE
@@ -174,8 +174,8 @@ def write_token_files(
             counts = own
             return _batch([(part, number, start, size, names, lengths, ids.tobytes(), None)], raw_schema)
 
-        for batch in pieces(batches, "text", BATCH_BYTES):
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode.ids(batch.column("text").to_pylist()), strict=True):
+        for batch in pieces(gathered(batches, "text", BATCH_BYTES), "text", BATCH_BYTES):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode.ids(batch.column("text")), strict=True):
                 names.append(doc)
                 held += [ids, end]
                 lengths.append(len(ids) + 1)

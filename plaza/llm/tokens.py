@@ -1,31 +1,26 @@
-"""Token ids of whole texts by the tokenizers library, with a bounded cache of words."""
+"""Token ids of whole texts by the tokenizers library, with a bounded table of pieces met before."""
 
 from __future__ import annotations
 
 import functools
 import json
 import os
-import re
-from array import array
 from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
-import regex
+import pyarrow as pa
+import pyarrow.compute as pc
 
-# A space with something other than white space on both sides: byte-level pre-tokenizers with the
-# pattern below always start a new word there, so the parts of a text can be encoded one by one.
-CUT = re.compile(r"(?<=\S) (?=\S)")
+# White space by Python's account, which holds all that engines class so.
+SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+# Characters whose kind all versions of Unicode agree on: letters, and punctuation without the apostrophe of "'s".
+LETTER, PUNCTUATION = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"
+MARK = "\x01"  # cuts; a text that holds it is encoded whole
 
-# Fixed value: the word pattern that the pre-tokenizer "ByteLevel" with use_regex applies.
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-
-# Characters whose kind all versions of Unicode agree on, without those that engines class differently as spaces.
-PLAIN = re.compile(r"[\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u024f]*")
-PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
-
-SHORT = 8  # words up to this length are kept together with punctuation
-MOST_WORDS = 300_000  # met lately by a Python worker; as many older ones are kept
+KEPT_BYTES = 64  # longer pieces are not kept
+MOST_PIECES = 400_000  # kept by a Python worker; beyond them the half met most often stays
+JOINED = 256  # words to a call of the library
 
 
 def tokenizer_file(path: str) -> str:
@@ -33,20 +28,11 @@ def tokenizer_file(path: str) -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
-def _byte_letters() -> list[str]:
-    """The printable letter that byte-level models use for each byte."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    letters = {byte: chr(byte) for byte in printable}
-    for byte in range(256):
-        letters.setdefault(byte, chr(256 + len(letters) - len(printable)))
-    return [letters[byte] for byte in range(256)]
-
-
 class Encoder:
     """Encodes texts as if by ``encode_batch(..., add_special_tokens=False)``, special tokens as plain text.
 
-    Texts are cut where the result can't change, and the ids of each part are kept, as most words of
-    a corpus come again. A tokenizer of another kind encodes whole texts.
+    Texts are cut where the result can't change, and each distinct piece is encoded once, as most
+    words of a corpus come again. A tokenizer of another kind encodes whole texts.
     """
 
     def __init__(self, spec: str):
@@ -63,91 +49,83 @@ class Encoder:
             and not kind.get("normalizer") and model.get("type", "BPE") == "BPE" and not model.get("dropout")
             and not kind.get("truncation") and not kind.get("padding") and ordinary
         )
-        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.letters = _byte_letters()
-        self.code = "H" if self.dtype.itemsize == 2 else "I"
-        # Ids of words after a space: those met lately, and those met before them; and of short parts without one.
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
-        return np.array(found.ids, self.dtype).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        """Ids of what the word pattern takes as one."""
-        letters = "".join(map(self.letters.__getitem__, word.encode()))
-        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
-
-    def _part(self, part: str) -> bytes:
-        """Ids of one part: by the model, word by word, where the pattern is beyond doubt (up to Latin letters)."""
-        if not PLAIN.fullmatch(part):
-            return self._whole(part)
-        return b"".join([self._word(word) for word in WORDS.findall(part)])
-
-    def _bare(self, part: str) -> bytes:
-        """Ids of a part that no space comes before."""
-        ids = self.bare.get(part)
-        if ids is None:
-            ids = self._part(part)
-            if len(part) < 32:
-                if len(self.bare) >= MOST_WORDS // 10:
-                    self.bare = {}
-                self.bare[part] = ids
-        return ids
-
-    def _later(self, part: str) -> bytes:
-        """Ids of a part after a space. What ends in punctuation or goes on in a new line is put together."""
-        ids = self.young.get(part)
-        if ids is not None:
-            return ids
-        before, line, after = part.partition("\n")
-        if line and before and after and not before[-1].isspace() and not after[0].isspace():
-            ids, tail = self._later(before), after
-            while line:
-                after, line, tail = tail.partition("\n")
-                if not after or after[0].isspace() or after[-1].isspace() or (line and (not tail or tail[0].isspace())):
-                    return self._part(" " + part)
-                ids += self._bare("\n") + self._bare(after)
-            return ids
-        stem = part.rstrip(PUNCTUATION)
-        if stem != part and stem.isalpha() and PLAIN.fullmatch(stem):
-            ids = self._later(stem) + self._bare(part[len(stem) :])
-            if len(part) > SHORT:
-                return ids
-        else:
-            ids = self.old.get(part)
-        if ids is None:
-            ids = self._word(" " + part) if part.isalpha() and PLAIN.fullmatch(part) else self._part(" " + part)
-        # Only parts that are safe to find by a split at every space may be found again.
-        if part and len(part) < 64 and not part[0].isspace() and not part[-1].isspace():
-            if len(self.young) >= MOST_WORDS:
-                self.old, self.young = self.young, {}
-            self.young[part] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned integers of ``dtype``."""
-        if not text:
-            return b""
-        if not self.cuts:
-            return self._whole(text)
-        first, *rest = text.split(" ")
-        found = list(map(self.young.get, rest))
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        if (rest and (not first or first[-1].isspace())) or any(not (p := rest[k]) or p[0].isspace() or p[-1].isspace() for k in missing):
-            first, *rest = CUT.split(text)
-            found = [self._later(p) for p in rest]
+        # Byte-level models write a space as this letter.
+        tokens = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        self.spaced = np.array([(token or "").startswith("Ġ") for token in tokens])
+        # Pieces met before, their ids and how often they were met.
+        self.known, self.coded, self.met = pa.array([], pa.large_string()), pa.array([], pa.large_binary()), np.zeros(0, np.int64)
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _coded(self, parts: list[np.ndarray]) -> pa.Array:
+        return pa.array([own.tobytes() for own in parts], pa.large_binary())
+
+    def _new(self, pieces: pa.Array) -> pa.Array:
+        """Ids of each piece. Words after a space are encoded together, as each one's first token shows its space."""
+        words = pc.match_substring_regex(pieces, f"^ [^{SPACE}]+$").to_numpy(zero_copy_only=False)
+        texts = pieces.filter(pa.array(words)).to_pylist()
+        ids = np.concatenate([np.zeros(0, self.dtype), *self._whole(["".join(texts[k : k + JOINED]) for k in range(0, len(texts), JOINED)])])
+        starts = np.append(np.flatnonzero(self.spaced[ids]), len(ids)).astype(np.int64)
+        if len(starts) != len(texts) + 1:  # the vocabulary lacks the space
+            return self._coded(self._whole(pieces.to_pylist()))
+        joined = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(texts), [None, pa.py_buffer(starts * self.dtype.itemsize), pa.py_buffer(ids)]
+        )
+        others = self._coded(self._whole(pieces.filter(pa.array(~words)).to_pylist()))
+        place = np.where(words, np.cumsum(words) - 1, len(texts) + np.cumsum(~words) - 1)
+        return pa.concat_arrays([joined, others]).take(pa.array(place))
+
+    def _pieces(self, texts: pa.Array) -> pa.Array:
+        """Lists of pieces, which the word pattern of byte-level models never takes as one.
+
+        It ends a word before white space (and looks ahead within it only), after a line end on its own,
+        and between a letter and punctuation.
+        """
+        if pc.any(pc.match_substring_regex(texts, f"[{SPACE}] ")).as_py():
+            texts = pc.replace_substring_regex(texts, f"([^{SPACE}]) ", rf"\1{MARK} ")
         else:
-            for k in missing:
-                found[k] = self._later(rest[k])
-        return self._bare(first) + b"".join(found)
-
-    def ids(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
-        for text in texts:
-            yield np.frombuffer(self.encode(text or ""), self.dtype)
+            texts = pc.replace_substring(texts, " ", f"{MARK} ")
+        texts = pc.replace_substring_regex(texts, f"([^{SPACE}])\n", rf"\1{MARK}" + "\n")
+        texts = pc.replace_substring_regex(texts, f"{MARK}\n([^{SPACE}])", f"{MARK}\n{MARK}" + r"\1")
+        texts = pc.replace_substring_regex(texts, f"([{LETTER}])([{PUNCTUATION}])", rf"\1{MARK}\2")
+        return pc.split_pattern(texts, MARK)
+
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin and the last one's end."""
+        lists = self._pieces(texts)
+        before = len(self.known)
+        found = pa.concat_arrays([self.known, lists.flatten()]).dictionary_encode()
+        codes = found.indices.to_numpy()[before:]
+        coded = pa.concat_arrays([self.coded, self._new(found.dictionary[before:])])
+        out = coded.take(pa.array(codes))
+        _, offsets, data = out.buffers()
+        ends = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+        places = np.frombuffer(offsets, np.int64)[ends] // self.dtype.itemsize
+        self._keep(found.dictionary, coded, np.bincount(codes, minlength=len(coded)))
+        return np.frombuffer(data, self.dtype) if data else np.zeros(0, self.dtype), places
+
+    def _keep(self, pieces: pa.Array, coded: pa.Array, met: np.ndarray) -> None:
+        met[: len(self.met)] += self.met
+        kept = np.flatnonzero(pc.less_equal(pc.binary_length(pieces), KEPT_BYTES).to_numpy(zero_copy_only=False))
+        if len(kept) > MOST_PIECES:
+            kept = kept[np.argpartition(-met[kept], MOST_PIECES // 2)[: MOST_PIECES // 2]]
+            met //= 2
+        self.known, self.coded, self.met = pieces.take(pa.array(kept)), coded.take(pa.array(kept)), met[kept]
+
+    def ids(self, texts: Sequence[str | None] | pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text as an array of ``dtype``; NULL has none."""
+        column = pc.fill_null(pa.array(texts, pa.string()) if not isinstance(texts, pa.Array) else texts, "").cast(pa.large_string())
+        whole = pc.match_substring(column, MARK).to_numpy(zero_copy_only=False) if self.cuts else np.ones(len(column), bool)
+        own = iter(self._whole(column.filter(pa.array(whole)).to_pylist()))
+        if whole.all():
+            yield from own
+            return
+        ids, places = self._cut(column.filter(pa.array(~whole)))
+        cut = iter(zip(places[:-1].tolist(), places[1:].tolist(), strict=True))
+        for alone in whole.tolist():
+            yield next(own) if alone else ids[slice(*next(cut))]
 
 
 @functools.lru_cache(maxsize=2)

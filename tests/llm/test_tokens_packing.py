@@ -1,16 +1,20 @@
 from __future__ import annotations
 
+import json
 import random
+import sys
 import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from plaza.llm import packing, token_files
+from plaza.llm import packing, token_files, tokens
+from plaza.llm.common import gathered
 from plaza.llm.tokens import Encoder, tokenizer_file
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +47,57 @@ def test_encoder_of_another_kind_encodes_whole_texts():
     assert [x.tolist() for x in found.ids(texts)] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("most", [50, 10**6])
+def test_encoder_agrees_with_the_library_on_marks_and_line_ends(plain, monkeypatch, most):
+    monkeypatch.setattr(tokens, "MOST_PIECES", most)
+    rng = random.Random(most)
+    odd = [*ODD, "\x01", "\x1f", "\r\n", "\n\n", "×÷ª", "—’、", ".'s", "'s.", " .", "word " * 3, "(x)"]
+    found = Encoder(tokenizer_file(PATH))
+    for _ in range(8):
+        rows = ["".join(rng.choice(odd) for _ in range(rng.randrange(30))) for _ in range(500)] + [None, ""]
+        assert [x.tolist() for x in found.ids(pa.array(rows))] == plain(rows)
+        assert len(found.known) == len(found.coded) == len(found.met) <= most
+
+
+def test_encoder_without_a_space_in_its_vocabulary():
+    kind = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    model = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": False, "vocab": {"a": 0, "b": 1, "ab": 2}, "merges": [["a", "b"]]}
+    spec = json.dumps({"version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None, "pre_tokenizer": kind, "post_processor": None, "decoder": None, "model": model})
+    rows, found = ["ab a b  ab", " b ab", ""], Encoder(spec)
+    assert found.cuts
+    assert [x.tolist() for x in found.ids(rows)] == [e.ids for e in Tokenizer.from_str(spec).encode_batch(rows, add_special_tokens=False)]
+
+
+def test_encoder_calls_no_function_for_each_word(plain):
+    """Words that were met before, with punctuation and line ends, cost no Python calls of their own."""
+    rng = random.Random(2)
+    words = [a + b for a in ("verheitung", "nation", "Xy") for b in (" ", ". ", ",\n", ".\nUnd ")]
+    rows, found = ["".join(rng.choices(words, k=200)) for _ in range(200)], Encoder(tokenizer_file(PATH))
+    list(found.ids(rows))
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        again = list(found.ids(rows))
+    finally:
+        sys.setprofile(None)
+    assert [x.tolist() for x in again] == plain(rows)
+    assert calls < 200 * 200 / 10
+
+
+def test_batches_put_together():
+    batches = [pa.record_batch({"k": [k, -k], "text": ["x" * k, None]}) for k in range(40)]
+    found = list(gathered(iter(batches), "text", 100, most=5))
+    assert pa.Table.from_batches(found).equals(pa.Table.from_batches(batches).combine_chunks())
+    assert [len(b) for b in found[:2]] == [10, 10] and len(found) < 40
+    assert all(b.column("text").nbytes < 200 for b in found)
+    assert list(gathered(iter([]), "text", 100)) == []
+
+
 def texts():
     rng = random.Random(1)
     rows = [(k, " ".join(rng.choice(["the", "Haus", "ñ", "x1", "\n"]) for _ in range(rng.choice([0, 1, 5, 40, 300])))) for k in range(120)]
