@@ -60,7 +60,7 @@ def cut_documents(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(spec), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in pieces(gathered(batches, "text", BATCH_BYTES), "text", BATCH_BYTES):
+        for batch in pieces(gathered(batches, "text", BATCH_BYTES // 2), "text", BATCH_BYTES):
             rows: list[tuple] = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode.ids(batch.column("text")), strict=True):
                 ids = np.append(ids.astype("<u4"), np.uint32(end_id))

@@ -174,7 +174,7 @@ def write_token_files(
             counts = own
             return _batch([(part, number, start, size, names, lengths, ids.tobytes(), None)], raw_schema)
 
-        for batch in pieces(gathered(batches, "text", BATCH_BYTES), "text", BATCH_BYTES):
+        for batch in pieces(gathered(batches, "text", BATCH_BYTES // 2), "text", BATCH_BYTES):
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode.ids(batch.column("text")), strict=True):
                 names.append(doc)
                 held += [ids, end]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import json
 import os
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -19,8 +19,9 @@ LETTER, PUNCTUATION = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"
 MARK = "\x01"  # cuts; a text that holds it is encoded whole
 
 KEPT_BYTES = 64  # longer pieces are not kept
-MOST_PIECES = 400_000  # kept by a Python worker; beyond them the half met most often stays
-JOINED = 256  # words to a call of the library
+MOST_PIECES = 300_000  # kept by a Python worker; beyond them the half met most often stays
+JOINED = 256  # words that are encoded as one text
+CALL = 32  # texts to a call of the library
 
 
 def tokenizer_file(path: str) -> str:
@@ -50,16 +51,19 @@ class Encoder:
             and not kind.get("truncation") and not kind.get("padding") and ordinary
         )
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        # Byte-level models write a space as this letter.
-        tokens = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
-        self.spaced = np.array([(token or "").startswith("Ġ") for token in tokens])
+        # Ids of tokens that begin with a space, which byte-level models write as this letter.
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if self.cuts:
+            self.spaced[[k for token, k in model["vocab"].items() if token.startswith("Ġ")]] = True
         # Pieces met before, their ids and how often they were met.
         self.known, self.coded, self.met = pa.array([], pa.large_string()), pa.array([], pa.large_binary()), np.zeros(0, np.int64)
 
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for first in range(0, len(texts), CALL):  # the library's results take far more memory than ids
+            for own in self.tokenizer.encode_batch_fast(texts[first : first + CALL], add_special_tokens=False):
+                yield np.array(own.ids, self.dtype)
 
-    def _coded(self, parts: list[np.ndarray]) -> pa.Array:
+    def _coded(self, parts: Iterable[np.ndarray]) -> pa.Array:
         return pa.array([own.tobytes() for own in parts], pa.large_binary())
 
     def _new(self, pieces: pa.Array) -> pa.Array:
@@ -118,7 +122,7 @@ class Encoder:
         """The ids of each text as an array of ``dtype``; NULL has none."""
         column = pc.fill_null(pa.array(texts, pa.string()) if not isinstance(texts, pa.Array) else texts, "").cast(pa.large_string())
         whole = pc.match_substring(column, MARK).to_numpy(zero_copy_only=False) if self.cuts else np.ones(len(column), bool)
-        own = iter(self._whole(column.filter(pa.array(whole)).to_pylist()))
+        own = self._whole(column.filter(pa.array(whole)).to_pylist())
         if whole.all():
             yield from own
             return
