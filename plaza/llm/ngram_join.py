@@ -5,8 +5,12 @@ share at most the sum of the smaller counts, and so two R-tree nodes at most the
 of their upper corners; pairs below the wanted overlap are skipped. Such bounds are loose near the
 root, where random texts of one length look alike, so the tree's upper levels are exact: documents
 with equal sets are one point, and points meet only if they share one of the first shingles in the
-order of hashes (any pair that links shares one) and have similar sizes. Survivors are compared by
+order below (any pair that links shares one) and have similar sizes. Survivors are compared by
 their whole sets.
+
+Shingles of many documents, such as those of a licence line, come last in that order: otherwise all documents with
+the line meet each other, and the work grows with the square of their number. Any order that is the same for all sets
+gives the same links.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plaza.llm.common import ROWS, Scratch, pieces, small_batches
+from plaza.llm.common import ROWS, Scratch, gathered, pieces, small_batches
 from plaza.llm.components import connected_components
 
 SHINGLE = 5
@@ -32,6 +36,10 @@ FULL = 255  # a count of so many or more
 LEAF = 32  # points in a leaf of the tree
 BLOCK = 1024  # points of one group and size that meet in one task
 LEADERS = 6  # points that each point is compared with first
+COMMON = 64  # a shingle of more documents comes last in the order, if it is found
+SEEN = 4  # documents that a shingle is seen in among those counted together, to be counted at all
+COUNTED = 1 << 21  # shingles that are counted together
+MOST_COMMON = 1 << 18  # so many at most come last, the most frequent ones: every task holds them
 BATCH_BYTES = 4 << 20
 SEGMENT = 1 << 20  # bytes that are hashed at once; cut at a space
 
@@ -97,19 +105,24 @@ def shingle_sets(texts: Sequence[str | None]) -> list[np.ndarray]:
     words, places = np.concatenate(hashes), np.concatenate(starts)
     first = np.searchsorted(places, begins)
     factors = _tables()[2]
+    # Windows over all texts at once; those that reach into the next text are left out below.
+    windows = np.zeros(max(0, len(words) - SHINGLE + 1), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(SHINGLE):
+            windows += words[k : k + len(windows)] * factors[k]
+        windows = _mix(windows)
     found = []
-    for a, b in zip(first[:-1], first[1:], strict=True):
-        own = words[a:b]
-        with np.errstate(over="ignore"):
-            if len(own) == 0:
-                found.append(np.zeros(0, np.uint64))
-            elif len(own) < SHINGLE:
-                found.append(_mix((own * factors[: len(own)]).sum(keepdims=True) + np.uint64(len(own))))
-            else:
-                sums = np.zeros(len(own) - SHINGLE + 1, np.uint64)
-                for k in range(SHINGLE):
-                    sums += own[k : k + len(sums)] * factors[k]
-                found.append(np.unique(_mix(sums)))
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if a == b:
+            found.append(np.zeros(0, np.uint64))
+        elif b - a < SHINGLE:
+            with np.errstate(over="ignore"):
+                found.append(_mix((words[a:b] * factors[: b - a]).sum(keepdims=True) + np.uint64(b - a)))
+        else:
+            own = np.sort(windows[a : b - SHINGLE + 1])
+            new = np.ones(len(own), bool)
+            np.not_equal(own[1:], own[:-1], out=new[1:])
+            found.append(own if new.all() else own[new])
     return found
 
 
@@ -191,9 +204,58 @@ class CountTree:
             yield self.order[x[keep]], self.order[y[keep]], share[keep]
 
 
-def profiles(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+def common_shingles(docs: DataFrame, text_col: str) -> np.ndarray:
+    """The shingles that many documents have, sorted. All texts are read; what is missed costs time and no link."""
+    small_batches(docs.sparkSession)
+
+    def often(sets: dict[bytes, np.ndarray]) -> pa.RecordBatch:
+        found = np.sort(np.concatenate([np.zeros(0, np.uint64), *sets.values()]))
+        edges = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.zeros(0, np.int64)
+        many = np.diff(np.append(edges, len(found)))
+        keep = many >= SEEN
+        return pa.RecordBatch.from_arrays([pa.array(found[edges[keep]].view(np.int64)), pa.array(many[keep], pa.int64())], names=["token", "many"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, np.ndarray] = {}  # equal sets are one point
+        size = 0
+        for batch in pieces(batches, "text", BATCH_BYTES):
+            for one in shingle_sets(batch.column("text").to_pylist()):
+                if held.setdefault(one.tobytes(), one) is one:
+                    size += len(one)
+                if size >= COUNTED:
+                    yield often(held)
+                    held, size = {}, 0
+        yield often(held)
+
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "token long, many long")
+    totals = counted.groupBy("token").agg(F.sum("many").alias("many")).filter(F.col("many") > COMMON)
+    rows = totals.orderBy(F.desc("many"), "token").limit(MOST_COMMON).select("token").toArrow()
+    return np.sort(rows.column("token").to_numpy().astype(np.int64).view(np.uint64))
+
+
+def first_shingles(own: np.ndarray, percent: int, common: np.ndarray, maybe: np.ndarray) -> np.ndarray:
+    """The first shingles of a set by (common, hash), so many that any two sets that link share one.
+
+    ``maybe`` says of the last 16 bits whether a common shingle has them.
+    """
+    if not len(own):
+        return own
+    many = len(own) - (percent * len(own) + 99) // 100 + 1
+    some = np.flatnonzero(maybe[own & np.uint64(0xFFFF)])
+    if len(some):
+        place = np.minimum(np.searchsorted(common, own[some]), len(common) - 1)
+        last = np.zeros(len(own), bool)
+        last[some] = common[place] == own[some]
+        own = np.concatenate((own[~last], own[last]))
+    return own[:many]
+
+
+def profiles(docs: DataFrame, percent: int, id_col: str, text_col: str, common: np.ndarray | None = None) -> DataFrame:
     """Per document: a number, its id, the size and a digest of its set, its count vector and first shingles."""
     small_batches(docs.sparkSession)
+    common = np.zeros(0, np.uint64) if common is None else common
+    maybe = np.zeros(1 << 16, bool)
+    maybe[common & np.uint64(0xFFFF)] = True
     id_type = docs.select(id_col).schema[0].dataType
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -203,8 +265,7 @@ def profiles(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataF
         row = TaskContext.get().partitionId() << 40
         for batch in pieces(batches, "text", BATCH_BYTES):
             sets = shingle_sets(batch.column("text").to_pylist())
-            # Any two sets that link share one of this many least shingles.
-            firsts = [x[: len(x) - (percent * len(x) + 99) // 100 + 1] if len(x) else x for x in sets]
+            firsts = [first_shingles(x, percent, common, maybe) for x in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(range(row, row + len(sets)), pa.int64()),
@@ -317,8 +378,10 @@ def tree_pairs(
     key = ["token", "class", "i", "j"]
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in whole_groups(batches, key):
-            found = [_group_pairs(group, percent, first) for group in part]
+        for part in whole_groups(gathered(batches, "counts", BATCH_BYTES), key):
+            # Most groups are of one leaf, where a tree has nothing to skip: they are compared together.
+            found = [_leaf_pairs([group for group in part if len(group["node"]) <= LEAF], percent, first)]
+            found += [_group_pairs(group, percent, first) for group in part if len(group["node"]) > LEAF]
             a, b = (np.concatenate([np.zeros(0, np.int64), *side]) for side in zip(*found, strict=True))
             pairs = np.unique(np.stack((a, b)), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
@@ -370,12 +433,65 @@ def _group_pairs(group: dict[str, np.ndarray], percent: int, first: bool) -> tup
     keep = (root[x] != root[y]) & (home[x] | home[y])
     x, y, share = x[keep], y[keep], share[keep]
     a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
-    if first and len(a):
-        ends, pair = np.concatenate((a, b)), np.tile(np.arange(len(a)), 2)
-        order = np.lexsort((pair, -share[pair], ends))
-        best = np.unique(pair[order][np.append(True, np.diff(ends[order]) != 0)])
-        a, b = a[best], b[best]
-    return a, b
+    return _likeliest(a, b, share, np.zeros(len(a), np.int64)) if first else (a, b)
+
+
+def _likeliest(a: np.ndarray, b: np.ndarray, share: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs of a group the one with the highest share at each point."""
+    if not len(a):
+        return a, b
+    ends, pair = np.concatenate((a, b)), np.tile(np.arange(len(a)), 2)
+    order = np.lexsort((pair, -share[pair], ends, group[pair]))
+    ends, of = ends[order], group[pair][order]
+    best = np.unique(pair[order][np.append(True, (np.diff(ends) != 0) | (np.diff(of) != 0))])
+    return a[best], b[best]
+
+
+def _leaf_pairs(groups: list[dict[str, np.ndarray]], percent: int, first: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The same pairs as those of ``_group_pairs`` for groups of one leaf, all of them in one pass."""
+    none = np.zeros(0, np.int64)
+    if not groups:
+        return none, none
+    node, root, home, n, counts = (np.concatenate([group[c] for group in groups]) for c in ("node", "root", "home", "n", "counts"))
+    many = np.array([len(group["node"]) for group in groups])
+    of = np.repeat(np.arange(len(groups)), many)
+    met = []
+    for step in range(1, int(many.max())):
+        x = np.flatnonzero(of[step:] == of[:-step])
+        y = x + step
+        keep = (root[x] != root[y]) & (home[x] | home[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+        met.append(np.stack((x[keep], y[keep])))
+    x, y = np.concatenate([np.zeros((2, 0), np.int64), *met], axis=1)
+    most, wanted = _bounds(counts, x, y), _wanted(n[x], n[y], percent)
+    keep = most >= wanted
+    x, y, share = x[keep], y[keep], most[keep] / wanted[keep]
+    a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+    return _likeliest(a, b, share, of[x]) if first else (a, b)
+
+
+def _unpacked(packed: np.ndarray, groups: int) -> np.ndarray:
+    """Count vectors of one length, folded to ``groups`` counts as :func:`vectors` does."""
+    counts = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1).astype(np.int32)
+    counts[counts == FULL] = 1 << 20
+    return counts if counts.shape[1] == groups else counts.reshape(len(packed), -1, groups).sum(axis=1, dtype=np.int32)
+
+
+def _bounds(counts: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The summed minima of the count vectors of pairs; a longer one is folded for its pair."""
+    length = np.array([len(one) for one in counts])
+    short, long = np.where(length[x] <= length[y], x, y), np.where(length[x] <= length[y], y, x)
+    most = np.zeros(len(x), np.int64)
+    kinds = np.stack((length[short], length[long]))
+    for low, high in np.unique(kinds, axis=1).T.tolist():
+        own = np.flatnonzero((kinds[0] == low) & (kinds[1] == high))
+        step = max(1, BATCH_BYTES // (8 * high))
+        for k in range(0, len(own), step):
+            some = own[k : k + step]
+            left, right = np.unique(short[some], return_inverse=True), np.unique(long[some], return_inverse=True)
+            # Both sides are made once for each point, at the length of the shorter one.
+            a, b = _unpacked(counts[left[0]], low)[left[1]], _unpacked(counts[right[0]], low)[right[1]]
+            most[some] = np.minimum(a, b).sum(axis=1)
+    return most
 
 
 def jaccard_components(
@@ -391,7 +507,7 @@ def jaccard_components(
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    known = scratch.write(profiles(docs, percent, id_col, text_col), "profiles")
+    known = scratch.write(profiles(docs, percent, id_col, text_col, common_shingles(docs, text_col)), "profiles")
     # A set without shingles is a point of its own, which nothing reaches.
     node_of = known.filter("n > 0").groupBy("sig").agg(F.min("row").alias("node"))
     rows = known.select("row", "doc_id", "n", "sig")

@@ -239,3 +239,41 @@ def test_texts_with_one_passage_that_do_not_link_are_not_all_compared(spark, doc
     found = ngram_join.jaccard_components(frame).collect()
     assert all(r["component_id"] == r["doc_id"] for r in found)
     assert sum(made) <= 600 * ngram_join.LEADERS
+
+
+def test_documents_with_a_common_line_do_not_meet_by_it(spark, docs, monkeypatch):
+    """The shingles of a line that all texts have come last, so groups stay small however many texts there are."""
+    largest, real, line = [], ngram_join.tree_pairs, words(40)
+    texts = [" ".join(words(60, 2 * k + 1) + line + words(60, 2 * k + 2)) for k in range(300)]
+    rows = [*enumerate(texts), *((1000 + k, f"{texts[k]} more") for k in range(0, 300, 50))]
+
+    def counted(groups, *rest, **named):
+        largest.append(groups.groupBy("token").count().agg({"count": "max"}).first()[0])
+        return real(groups, *rest, **named)
+
+    monkeypatch.setattr(ngram_join, "tree_pairs", counted)
+    found = ngram_join.jaccard_components(docs(*rows)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {k: k - 1000 if k >= 1000 else k for k, _ in rows}
+    assert max(largest) <= 4
+
+
+def test_groups_of_one_leaf_are_compared_as_a_tree_does():
+    rng = np.random.default_rng(3)
+    groups = []
+    for many in rng.integers(1, ngram_join.LEAF, 40).tolist():
+        base = rng.integers(0, 1 << 62, 900).astype(np.uint64)
+        sets = [np.unique(np.concatenate((base[: int(rng.integers(600, 900))], rng.integers(0, 1 << 62, 90).astype(np.uint64)))) for _ in range(many)]
+        node = rng.permutation(many)
+        groups.append({
+            "node": node, "root": node // 2, "home": rng.random(many) < 0.6, "n": np.array([len(one) for one in sets]),
+            "counts": np.array([ngram_join.count_vector(one) for one in sets], object),
+        })
+    def pairs(found):
+        return {*zip(*found, strict=True)}
+
+    for group in groups:
+        every = pairs(ngram_join._leaf_pairs([group], 80, False))
+        assert every == pairs(ngram_join._group_pairs(group, 80, False))
+        best = pairs(ngram_join._leaf_pairs([group], 80, True))
+        assert best <= every and {*sum(best, ())} == {*sum(every, ())} and len(best) <= len({*sum(every, ())})
+    assert pairs(ngram_join._leaf_pairs(groups, 80, False)) == set().union(*(pairs(ngram_join._leaf_pairs([group], 80, False)) for group in groups))
